@@ -217,3 +217,56 @@ def row_positions(
     )
 
 
+
+
+def summary(
+    df: DataFrame,
+    keys: Sequence[str],
+    aggs: Sequence[Column],
+    value: str,
+    probs: Mapping[str, float],
+    limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """Aggregates and exact percentiles of one column, in one pass while groups are small."""
+    if _cut_table_small(df, keys, limit):
+        names = list(probs)
+        v = F.col(value).cast("double")
+        marks = F.percentile(F.when(~F.isnan(v), v), F.array(*[F.lit(float(probs[n])) for n in names]))
+        out = df.groupBy(*keys).agg(*aggs, marks.alias("_p"))
+        return out.select("*", *[F.col("_p")[i].alias(n) for i, n in enumerate(names)]).drop("_p")
+    base = df.groupBy(*keys).agg(*aggs)
+    marks = percentiles(df, keys, value, probs, limit)
+    if not keys:
+        return base.withColumn("_one", F.lit(1)).join(marks.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+    named = marks.select(*[F.col(k).alias(f"_m_{k}") for k in keys], *probs)
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_m_{k}"))
+    return base.join(named, on, "left").drop(*[f"_m_{k}" for k in keys])
+
+
+PART_ROWS = 100_000
+
+
+def with_parts(df: DataFrame, keys: Sequence[str], member: str, limit: int = PART_ROWS) -> DataFrame:
+    """Add ``part``: 0 for groups of ordinary size, a hashed share number for larger ones.
+
+    Operators that gather members into one value per group gather per (group, part), so no value
+    outgrows a task. Rows with more than ``limit`` members number at most total / limit.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.agg(F.max("_n")).first()[0]
+    if top is None or top <= limit:
+        return df.withColumn("part", F.lit(0))
+    big = counts.where(F.col("_n") > limit).select(
+        *[F.col(k).alias(f"_b_{k}") for k in keys], F.ceil(F.col("_n") / limit).alias("_parts")
+    )
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_b_{k}"))
+    share = F.pmod(F.xxhash64(member), F.col("_parts")).cast("int")
+    return (
+        df.join(big, on, "left")
+        .withColumn("part", F.coalesce(share, F.lit(0)))
+        .drop("_parts", *[f"_b_{k}" for k in keys])
+    )

@@ -299,3 +299,52 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+
+
+# --- scenes: one row per order with its plume counts and the four selection axes ---------------
+
+SCENES = f"""
+{CATALOGUE_A.strip()},
+scenes AS (
+  SELECT tile AS scene, year(any_value(o_orderdate)) AS year, any_value(r_name) AS region,
+         any_value(n_name) AS country, any_value(o_orderpriority) AS sector, count(*) AS n_plumes,
+         count(*) FILTER (flux > 0 AND flux < 1000) AS n_weak,
+         count(*) FILTER (flux >= 1000) AS n_strong, count(DISTINCT a.source) AS n_sources,
+         max(flux) AS flux_max,
+         CASE WHEN count(*) FILTER (flux > 0 AND flux < 1000) > 0 THEN 'has_weak' ELSE 'strong_only' END AS flux_bin
+  FROM catalogue_a a JOIN orders ON tile = o_orderkey JOIN customer ON o_custkey = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY tile)"""
+
+
+def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weak = (F.col("flux") > 0) & (F.col("flux") < 1000)
+    plumes = (
+        catalogue_a(spark, sf_dir)
+        .groupBy("tile")
+        .agg(
+            F.count(F.lit(1)).alias("n_plumes"),
+            F.count_if(weak).alias("n_weak"),
+            F.count_if(F.col("flux") >= 1000).alias("n_strong"),
+            F.count_distinct("source").alias("n_sources"),
+            F.max("flux").alias("flux_max"),
+        )
+    )
+    return (
+        plumes.join(table(spark, sf_dir, "orders"), F.col("tile") == F.col("o_orderkey"))
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(
+            F.col("tile").alias("scene"),
+            F.year("o_orderdate").alias("year"),
+            F.col("r_name").alias("region"),
+            F.col("n_name").alias("country"),
+            F.col("o_orderpriority").alias("sector"),
+            "n_plumes",
+            "n_weak",
+            "n_strong",
+            "n_sources",
+            "flux_max",
+            F.when(F.col("n_weak") > 0, "has_weak").otherwise("strong_only").alias("flux_bin"),
+        )
+    )

@@ -154,7 +154,7 @@ def rename_drop_columns(spark, d):
 
 @query(
     "round_columns",
-    """SELECT event_id, round(value / 7, 3) AS wind, round(value / 3, 1) AS path, event_type FROM events""",
+    """SELECT event_id, round_even(value / 7, 3) AS wind, round_even(value / 3, 1) AS path, event_type FROM events""",
 )
 def round_columns(spark, d):
     t = fx.table(spark, d, "events").select(
@@ -189,7 +189,7 @@ def cast_to_published_types(spark, d):
     t = fx.table(spark, d, "pages").select(
         F.col("page_id").alias("id"), F.regexp_extract("url", "/([0-9]+)", 1).alias("num"), "url"
     )
-    spec = T.StructType().add("id", "int").add("num", "bigint").add("extra", "double").add("url", "string")
+    spec = T.StructType().add("id", "integer").add("num", "long").add("extra", "double").add("url", "string")
     return C.cast_to(t, spec)
 
 
