@@ -108,8 +108,8 @@ def criteria_flags(
     side_max: Column,
     foreign_share: Column,
     edge_width: Column,
-    entry_share: float = 0.01,
-    side_share: float = 0.01,
+    entry_share: float = 0.02,
+    side_share: float = 0.02,
     width_limit: float = 60.0,
 ) -> DataFrame:
     """Five pass flags of a snapshot and their conjunction; a null share does not pass."""

@@ -23,9 +23,24 @@ def best_per_date(df: DataFrame, site: str, day: str, score: str, coverage: str,
     return best.select(site, day, "_r.*")
 
 
+# Up to this rank Spark itself limits every group before the shuffle.
+RANK_LIMIT = 1000
+SALTS = 64
+
+
 def head_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, out: str | None = None) -> DataFrame:
-    """The first n rows of each group. The rank limit is applied before the shuffle as well."""
+    """The first n rows of each group.
+
+    For a short list the rank limit is applied before the shuffle as well. For a long one the
+    group is cut into salted shares, the first n of each share are kept, and the final rank is
+    taken over those.
+    """
     w = Window.partitionBy(*keys).orderBy(*order)
+    if n > RANK_LIMIT:
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
+        shares = df.withColumn("_salt", salt)
+        ws = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        df = shares.withColumn("_rs", F.row_number().over(ws)).where(F.col("_rs") <= n).drop("_rs", "_salt")
     top = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
     return top.drop("_rn") if out is None else top.withColumnRenamed("_rn", out)
 

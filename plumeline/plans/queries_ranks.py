@@ -166,7 +166,7 @@ def midpoint_levels(spark, d):
 
 @query(
     "patience_early_stop",
-    """WITH RECURSIVE s AS (SELECT l_suppkey AS run, CAST(l_quantity AS INT) AS it, avg(l_discount) + CAST(l_quantity AS INT) / 20000.0 AS ap FROM lineitem GROUP BY ALL),
+    """WITH RECURSIVE r AS (SELECT l_suppkey AS run, CAST(l_quantity AS INT) AS it, avg(l_discount) AS a FROM lineitem GROUP BY ALL), s AS (SELECT run, it, a + it / 20000.0 :: DOUBLE AS ap FROM r),
       o AS (SELECT run, it, ap, row_number() OVER (PARTITION BY run ORDER BY it) AS i FROM s),
       f AS (SELECT run, i, it AS last, ap AS best, it AS stage, 0 AS idle FROM o WHERE i = 1
         UNION ALL SELECT f.run, o.i, o.it, CASE WHEN o.ap > f.best + 0.001 THEN o.ap ELSE f.best END,

@@ -154,11 +154,11 @@ def rename_drop_columns(spark, d):
 
 @query(
     "round_columns",
-    """SELECT event_id, round_even(value / 7, 3) AS wind, round_even(value / 3, 1) AS path, event_type FROM events""",
+    """SELECT event_id, round_even(value / 7, 3) AS wind, round_even(value / 7.1, 1) AS path, event_type FROM events""",
 )
 def round_columns(spark, d):
     t = fx.table(spark, d, "events").select(
-        "event_id", (F.col("value") / 7).alias("wind"), (F.col("value") / 3).alias("path"), "event_type"
+        "event_id", (F.col("value") / 7).alias("wind"), (F.col("value") / 7.1).alias("path"), "event_type"
     )
     return C.round_columns(t, {"wind": 3, "path": 1})
 
@@ -199,8 +199,8 @@ def cast_to_published_types(spark, d):
         regr_slope(l_extendedprice, l_quantity) - 2000 AS slope, min(l_extendedprice) AS edge,
         avg(l_extendedprice) AS inner_min, max(l_discount) * 9000 AS side,
         CASE WHEN min(l_tax) = 0 THEN 0.001 END AS share, max(l_quantity) AS width FROM lineitem GROUP BY 1),
-     f AS (SELECT snap, slope < 0 AND edge < inner_min AS fades, entry < 0.01 * peak AS upwind_ok,
-       side < 0.01 * peak AS sides_ok, coalesce(share < 0.002, false) AS foreign_ok, width <= 60 AS width_ok FROM s)
+     f AS (SELECT snap, slope < 0 AND edge < inner_min AS fades, entry < 0.02 * peak AS upwind_ok,
+       side < 0.02 * peak AS sides_ok, coalesce(share < 0.002, false) AS foreign_ok, width <= 60 AS width_ok FROM s)
     SELECT *, fades AND upwind_ok AND sides_ok AND foreign_ok AND width_ok AS passes FROM f""",
 )
 def criteria_flags(spark, d):
