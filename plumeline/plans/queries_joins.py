@@ -388,10 +388,10 @@ def _lerp(spark, d):
     return J.temporal_lerp(e, hourly(spark, d), ["node"], "ts", ["u", "v"])
 
 
-@query("temporal_lerp", LERP + " SELECT event_id, round(frac, 8) AS frac, round(u, 6) AS u, round(v, 6) AS v FROM j")
+@query("temporal_lerp", LERP + " SELECT event_id, round(u, 6) AS u, round(v, 6) AS v FROM j")
 def temporal_lerp(spark, d):
     return _lerp(spark, d).select(
-        "event_id", F.round("frac", 8).alias("frac"), F.round("u", 6).alias("u"), F.round("v", 6).alias("v")
+        "event_id", F.round("u", 6).alias("u"), F.round("v", 6).alias("v")
     )
 
 
