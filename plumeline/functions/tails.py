@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -39,28 +40,37 @@ def beta_tail(a: float, b: float, x: float) -> float:
     return front * frac / a
 
 
-@F.pandas_udf("double")
-def t_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
-    """Two-sided p-value of Student's t."""
+def _t_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(
         [None if pd.isna(x) or n <= 0 else beta_tail(n / 2.0, 0.5, n / (n + x * x)) for x, n in zip(t, df)],
         dtype="float64",
     )
 
 
-@F.pandas_udf("double")
-def normal_two_sided(z: pd.Series) -> pd.Series:
+def _normal_two_sided(z: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(x) else math.erfc(abs(x) / math.sqrt(2.0)) for x in z], dtype="float64")
 
 
-@F.pandas_udf("double")
-def sign_two_sided(k: pd.Series, n: pd.Series) -> pd.Series:
-    """Exact two-sided p-value of k successes in n fair trials."""
+def _sign_one(k: int, n: int) -> float | None:
+    if n == 0:
+        return None
+    low = min(k, n - k)
+    return 1.0 if 2 * low == n else min(1.0, 2.0 * beta_tail(n - low, low + 1.0, 0.5))
+
+
+def _sign_two_sided(k: pd.Series, n: pd.Series) -> pd.Series:
+    return pd.Series([_sign_one(a, b) for a, b in zip(k, n)], dtype="float64")
+
 
-    def one(k, n):
-        if n == 0:
-            return None
-        low = min(k, n - k)
-        return 1.0 if 2 * low == n else min(1.0, 2.0 * beta_tail(n - low, low + 1.0, 0.5))
+def t_two_sided(t: Column | str, df: Column | str) -> Column:
+    """Two-sided p-value of Student's t."""
+    return F.pandas_udf(_t_two_sided, "double")(t, df)
+
+
+def normal_two_sided(z: Column | str) -> Column:
+    return F.pandas_udf(_normal_two_sided, "double")(z)
 
-    return pd.Series([one(a, b) for a, b in zip(k, n)], dtype="float64")
+
+def sign_two_sided(k: Column | str, n: Column | str) -> Column:
+    """Exact two-sided p-value of k successes in n fair trials."""
+    return F.pandas_udf(_sign_two_sided, "double")(k, n)

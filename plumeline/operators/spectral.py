@@ -436,7 +436,7 @@ def _large_columns(df: DataFrame, template: np.ndarray, config: FilterConfig) ->
         score = F.greatest((off - weight) / (F.col("albedo") * F.col("norm")), F.lit(0.0))
         x = cut_lineage(joined.withColumn("score", score).select(*x.columns)) if rounds else joined.withColumn("score", score).select(*x.columns)
         state = fits.select(*keys, F.col("next").alias("target")).join(base, keys)
-    masked = lambda c: F.when(F.col("ok"), c).otherwise(F.lit(float("nan")))
+    masked = lambda c: F.when(F.col("ok"), c)
     return x.select(
         *keys,
         "row",
@@ -452,7 +452,7 @@ def retrieve_scene(
 ) -> DataFrame:
     """Run a retrieval over pixels (scene, row, col, spectrum), one detector column at a time.
 
-    Pixels with fill in any band take their column's mean and come back as NaN. A detector column
+    Pixels with fill in any band take their column's mean and come back as null. A detector column
     has as many pixels as the scene has rows; a column above the limit is filtered by distributed
     sums with the same result (the tolerance of the fast recipe is then not used).
     """
@@ -474,8 +474,8 @@ def retrieve_scene(
         large.join(has, keys, "left_anti").select(
             *keys,
             "row",
-            F.lit(float("nan")).alias("enhancement"),
-            F.lit(float("nan")).alias("albedo"),
+            F.lit(None).cast("double").alias("enhancement"),
+            F.lit(None).cast("double").alias("albedo"),
             F.lit(0).alias("iterations"),
             F.lit(False).alias("converged"),
         )

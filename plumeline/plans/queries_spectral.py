@@ -204,5 +204,5 @@ retrieve_column_groups = _by_name("retrieve_column_groups", "mf", alpha=0.05, co
 def retrieve_scene(spark, d):
     """Column report of a full retrieval: the pixels that came back valid, per detector column."""
     out = S.retrieve(cube(spark, d), TEMPLATE, "rmf", alpha=0.05)
-    g = out.groupBy("scene", "col").agg(F.count_if(~F.isnan("enhancement")).alias("valid"))
+    g = out.groupBy("scene", "col").agg(F.count("enhancement").alias("valid"))
     return g.select("*", (F.col("valid") == 0).alias("empty"), (F.col("valid") < BANDS).alias("underdetermined"))
