@@ -117,36 +117,54 @@ def _split(shift_x: Column, shift_y: Column, weight: Column) -> Column:
     return F.array(part(0, 0), part(1, 0), part(0, 1), part(1, 1))
 
 
-def project_volume(
-    df: DataFrame, vza: float = 0.0, vaa: float = 0.0, pixel_m: float = 20.0, level_m: float = LEVEL_M
+def path_offsets(
+    nodes: DataFrame, nz: int, vza: float = 0.0, vaa: float = 0.0, pixel_m: float = 20.0, level_m: float = LEVEL_M
 ) -> DataFrame:
-    """Column maps of voxels that carry a sun node (sza, raa): slant sums along sun and view paths.
+    """Where a voxel of each level lands for each sun node, with its weight.
 
-    Each level moves against the azimuth by its height times the tangent of the angle and is split
-    over four pixels, so mass is kept. The two paths are weighted by their air mass. The voxels of
-    a (volume, node, level) are added up per target pixel before the shuffle.
+    One row per (node, level, dx, dy): nodes times levels times a handful of targets, whatever the
+    number of volumes. Each level moves against the azimuth by its height times the tangent of the
+    angle and is split over four pixels; sun and view paths are weighted by their air mass.
     """
-    height = F.col("level") * level_m / pixel_m
-    a_sun = 1 / F.cos(F.radians("sza"))
-    a_view = F.lit(1.0 / math.cos(math.radians(vza)))
-    reach = height * F.tan(F.radians("sza"))
-    turn = F.radians(F.col("raa") + 180.0)
-    sun = _split(reach * F.cos(turn), reach * F.sin(turn), a_sun / (a_sun + a_view))
+    a_view = 1.0 / math.cos(math.radians(vza))
+    base = nodes.select("node", "sza", "raa", F.explode(F.sequence(F.lit(0), F.lit(nz))).alias("level")).select(
+        "node",
+        "level",
+        (F.col("level") * level_m / pixel_m * F.tan(F.radians("sza"))).alias("reach"),
+        F.radians(F.col("raa") + 180.0).alias("turn"),
+        (1 / F.cos(F.radians("sza"))).alias("a_sun"),
+    )
+    total = F.col("a_sun") + a_view
+    sun = _split(F.col("reach") * F.cos("turn"), F.col("reach") * F.sin("turn"), F.col("a_sun") / total)
     if vza == 0.0:
-        view = F.array(F.struct(F.lit(0).alias("dx"), F.lit(0).alias("dy"), (a_view / (a_sun + a_view)).alias("w")))
+        view = F.array(F.struct(F.lit(0).alias("dx"), F.lit(0).alias("dy"), (a_view / total).alias("w")))
     else:
         back = math.radians(vaa + 180.0)
-        slant = height * math.tan(math.radians(vza))
-        view = _split(slant * math.cos(back), slant * math.sin(back), a_view / (a_sun + a_view))
-    # Offsets depend on level and node only and are merged before voxels fan out.
+        slant = F.col("level") * (level_m / pixel_m * math.tan(math.radians(vza)))
+        view = _split(slant * math.cos(back), slant * math.sin(back), a_view / total)
+    return (
+        base.select("node", "level", F.explode(F.concat(sun, view)).alias("o"))
+        .groupBy("node", "level", F.col("o.dx").alias("dx"), F.col("o.dy").alias("dy"))
+        .agg(F.sum("o.w").alias("w"))
+        .where("w <> 0")
+    )
+
+
+def project_volume(
+    voxels: DataFrame, nodes: DataFrame, nz: int, vza: float = 0.0, vaa: float = 0.0, pixel_m: float = 20.0
+) -> DataFrame:
+    """Column maps of every volume at every sun node: mass-conserving slant sums.
+
+    The offset table is bounded by the geometry and is broadcast; voxels never move until their
+    shares have been added up per target pixel.
+    """
+    offsets = F.broadcast(path_offsets(nodes, nz, vza, vaa, pixel_m))
     return (
-        df.where("ppb <> 0")
-        .select("volume", "node", "sza", "raa", "row", "col", "ppb", F.explode(F.concat(sun, view)).alias("o"))
-        .where("o.w <> 0")
-        .groupBy(
-            "volume", "node", "sza", "raa", (F.col("row") + F.col("o.dy")).alias("row"), (F.col("col") + F.col("o.dx")).alias("col")
-        )
-        .agg(F.sum(F.col("ppb") * F.col("o.w")).alias("ppb"))
+        voxels.where("ppb <> 0")
+        .select("volume", F.col("level").cast("int").alias("level"), "row", "col", "ppb")
+        .join(offsets, "level")
+        .groupBy("volume", "node", (F.col("row") + F.col("dy")).alias("row"), (F.col("col") + F.col("dx")).alias("col"))
+        .agg(F.sum(F.col("ppb") * F.col("w")).alias("ppb"))
     )
 
 
@@ -270,14 +288,14 @@ def snapshot_selection(df: DataFrame, run: Sequence[str], snap: str, passes: Col
     return choose_spaced_trio(df.where(passes), run, snap, SNAPSHOT_TARGETS, SNAPSHOT_GAP)
 
 
-def bank_row_table(stats: DataFrame, sources: DataFrame, domain: Domain) -> DataFrame:
+def bank_row_table(stats: DataFrame, sources: DataFrame, nodes: DataFrame, domain: Domain) -> DataFrame:
     """One row per plume and sun node: id, size, source position and growth beyond the domain.
 
-    ``stats`` comes from ``threshold_and_crop`` keyed by volume, node, sza, raa, in the frame
-    without the relaxation band; ``sources`` has volume, uid, center_row, center_col.
+    ``stats`` comes from ``threshold_and_crop`` keyed by volume and node, in the frame without the
+    relaxation band; ``sources`` has volume, uid, center_row, center_col.
     """
     d = domain
-    j = stats.join(sources, "volume")
+    j = stats.join(sources, "volume").join(F.broadcast(nodes), "node")
     c = F.col
     width, height = c("col1") - c("col0") + 1, c("row1") - c("row0") + 1
     src_col = c("center_col") - d.relax - c("col0")

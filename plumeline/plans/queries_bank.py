@@ -63,7 +63,7 @@ PROJECTED = f"""{fx.VOXELS}, {NODES}, sh AS (SELECT v.volume, node, sza, raa, v.
 
 
 def projected(spark, d):
-    return B.project_volume(B.with_sun_nodes(fx.voxels(spark, d), **COARSE))
+    return B.project_volume(fx.voxels(spark, d), B.sun_nodes(spark, **COARSE), DOMAIN.nz)
 
 
 @query(
@@ -152,9 +152,10 @@ def snapshot_selection(spark, d):
 @query("bank_row_table")
 def bank_row_table(spark, d):
     maps = cut_lineage(projected(spark, d))
-    _, stats = B.threshold_and_crop(maps, ["volume", "node", "sza", "raa"])
+    _, stats = B.threshold_and_crop(maps, ["volume", "node"])
     uid = F.format_string("a%d_w03.0_s080", F.col("volume") + 1)
-    return rounded(B.bank_row_table(stats, sources(spark, d).withColumn("uid", uid), DOMAIN), 4)
+    nodes = B.sun_nodes(spark, **COARSE)
+    return rounded(B.bank_row_table(stats, sources(spark, d).withColumn("uid", uid), nodes, DOMAIN), 4)
 
 
 @query(
