@@ -190,8 +190,8 @@ def retrieve_after_injection(spark, d):
 
 @query(
     "truth_mask",
-    f"""WITH {fx.VOXELS} SELECT volume, row, col, round(sum(ppb) * 1000 / 3000, 4) AS ppb FROM voxels GROUP BY ALL HAVING sum(ppb) * 1000 / 3000 >= 20""",
+    f"""WITH {fx.VOXELS} SELECT volume, row, col, round(sum(ppb) * 1000 / 3000, 6) AS ppb FROM voxels GROUP BY ALL HAVING sum(ppb) * 1000 / 3000 >= 20""",
 )
 def truth_mask(spark, d):
     v = fx.voxels(spark, d).groupBy("volume", "row", "col").agg(scale_to_rate(F.sum("ppb"), F.lit(1000.0)).alias("ppb"))
-    return rounded(I.truth_mask(v), 4)
+    return rounded(I.truth_mask(v), 6)

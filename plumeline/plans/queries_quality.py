@@ -16,8 +16,8 @@ from plumeline.plans.registry import query
 
 @query(
     "build_level0",
-    f"""WITH {fx.CATALOGUE_A}, {fx.PLUMES_B}, a AS (SELECT granule, count(DISTINCT source) AS n, count(*) FILTER (flux > 0 AND flux < 1000) AS w, count(*) FILTER (flux >= 1000) AS s, round(sum(flux) / 7, 2) AS t, round(max(flux) / 7, 2) AS m FROM catalogue_a GROUP BY 1),
-      b AS (SELECT granule, count(*) AS n, sum(flux) / 7 AS t, max(flux) / 7 AS m FROM plumes_b GROUP BY 1)
+    f"""WITH {fx.CATALOGUE_A}, {fx.PLUMES_B}, a AS (SELECT granule, count(DISTINCT source) AS n, count(*) FILTER (flux > 0 AND flux < 1000) AS w, count(*) FILTER (flux >= 1000) AS s, round(sum(flux) * 0.913777, 2) AS t, round(max(flux) * 0.913777, 2) AS m FROM catalogue_a GROUP BY 1),
+      b AS (SELECT granule, count(*) AS n, sum(flux) * 0.913777 AS t, max(flux) * 0.913777 AS m FROM plumes_b GROUP BY 1)
     SELECT 's' || c_custkey AS id, 'FOLDER' AS type, coalesce(a.n, 0) AS "detection:n_a", coalesce(b.n, 0) AS "detection:n_b", coalesce(w, 0) AS "detection:n_a_weak", coalesce(s, 0) AS "detection:n_a_strong",
       a.t AS "detection:a_flux_total", a.m AS "detection:a_flux_max", round(b.t, 2) AS "detection:b_flux_total", round(b.m, 2) AS "detection:b_flux_max", 'C' || c_nationkey AS "site:country",
       CASE WHEN coalesce(w, 0) > 0 THEN 'has_weak' WHEN coalesce(s, 0) > 0 THEN 'strong_only' ELSE 'free' END AS "selection:flux_bin"
@@ -30,13 +30,13 @@ def build_level0(spark, d):
         F.count_distinct("source").alias("detection:n_a"),
         weak.alias("detection:n_a_weak"),
         strong.alias("detection:n_a_strong"),
-        (F.sum("flux") / 7).alias("detection:a_flux_total"),
-        (F.max("flux") / 7).alias("detection:a_flux_max"),
+        (F.sum("flux") * 0.913777).alias("detection:a_flux_total"),
+        (F.max("flux") * 0.913777).alias("detection:a_flux_max"),
     )
     flux_bin = F.when(F.col("`detection:n_a_weak`") > 0, "has_weak").when(F.col("`detection:n_a_strong`") > 0, "strong_only")
     a = a.select(key, *[F.col(f"`{c}`") for c in a.columns[1:]], flux_bin.alias("selection:flux_bin"))
     b = fx.plumes_b(spark, d).groupBy("granule").agg(
-        F.count("*").alias("detection:n_b"), (F.sum("flux") / 7).alias("detection:b_flux_total"), (F.max("flux") / 7).alias("detection:b_flux_max")
+        F.count("*").alias("detection:n_b"), (F.sum("flux") * 0.913777).alias("detection:b_flux_total"), (F.max("flux") * 0.913777).alias("detection:b_flux_max")
     )
     b = b.select(key, *[F.col(f"`{c}`") for c in b.columns[1:]])
     base = fx.table(spark, d, "customer").select(

@@ -71,7 +71,7 @@ def manifest_scan(spark, d):
 
 @query(
     "project_records",
-    f"""WITH {fx.POINTS} SELECT id, kind, lon + 0.5 AS lon, lat + 0.25 AS lat FROM points WHERE flux >= 0""",
+    f"""WITH {fx.POINTS} SELECT id, kind, round(lon + 0.5, 6) AS lon, round(lat + 0.25, 6) AS lat FROM points WHERE flux >= 0""",
 )
 def project_records(spark, d):
     p = fx.points(spark, d)
@@ -126,7 +126,7 @@ def _written(spark, d, tile=4):
 
 @query(
     "read_raster_layer",
-    f"WITH {fx.PIXELS} SELECT scene, band, row, col, round(value, 5) AS value FROM pixels WHERE band IN (3, 7, 11) AND row BETWEEN 2 AND 6 AND col BETWEEN 1 AND 8",
+    f"WITH {fx.PIXELS} SELECT scene, band, row, col, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 5) AS value FROM pixels WHERE band IN (3, 7, 11) AND row BETWEEN 2 AND 6 AND col BETWEEN 1 AND 8",
 )
 def read_raster_layer(spark, d):
     tiles, _ = _written(spark, d)
@@ -136,7 +136,7 @@ def read_raster_layer(spark, d):
 
 @query(
     "read_cube_blocks",
-    f"WITH {fx.PIXELS} SELECT scene, CAST(band // 16 AS INTEGER) AS block, count(*) AS pixels, round(min(value), 5) AS low, round(max(value), 5) AS high FROM pixels GROUP BY ALL",
+    f"WITH {fx.PIXELS} SELECT scene, CAST(band // 16 AS INTEGER) AS block, count(*) AS pixels, round(CAST(min(CAST(value AS FLOAT)) AS DOUBLE), 5) AS low, round(CAST(max(CAST(value AS FLOAT)) AS DOUBLE), 5) AS high FROM pixels GROUP BY ALL",
 )
 def read_cube_blocks(spark, d):
     tiles, _ = _written(spark, d)
@@ -234,7 +234,7 @@ def write_csv_report(spark, d):
     return scans.csv_catalog(spark, path, "kind string, n bigint, mean double")
 
 
-@query("write_geojson", f"WITH {fx.POINTS} SELECT 'Feature' AS type, id, round(lon * 10) / 10 AS lon FROM points")
+@query("write_geojson", f"WITH {fx.POINTS} SELECT 'Feature' AS type, id, round(lon, 6) AS lon FROM points")
 def write_geojson(spark, d):
     path = scratch_path(spark, "geojson")
     sinks.write_geojson(fx.points(spark, d), path, "lon", "lat", ["id"])
@@ -242,7 +242,7 @@ def write_geojson(spark, d):
     return rows.select(
         F.get_json_object("value", "$.type").alias("type"),
         F.get_json_object("value", "$.properties.id").cast("bigint").alias("id"),
-        F.get_json_object("value", "$.geometry.coordinates[0]").cast("double").alias("lon"),
+        F.round(F.get_json_object("value", "$.geometry.coordinates[0]").cast("double"), 6).alias("lon"),
     )
 
 
