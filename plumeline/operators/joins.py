@@ -348,7 +348,35 @@ def snap_to_grid_lookup(
     order = F.xxhash64(F.col("id").cast("string"), F.lit(seed)) if tie is None else tie
     node = Window.partitionBy("wind", "sza", "raa").orderBy(order, "id")
     few = bank.withColumn("_tie", F.row_number().over(node)).where(F.col("_tie") <= n)
-    joined = q.join(few, ["wind", "sza"]).withColumn("gap", circular_diff(F.col("raa"), F.col("_raa")))
+    # A query falls between two neighbouring azimuths of its ring; the n nearest are among the n on
+    # either side. The arcs with their candidates are a table of the bank's size, not the queries'.
+    ring = Window.partitionBy("wind", "sza")
+    spots = bank.select("wind", "sza", "raa").distinct().select(
+        "wind",
+        "sza",
+        "raa",
+        (F.row_number().over(ring.orderBy("raa")) - 1).alias("_pos"),
+        F.count(F.lit(1)).over(ring).alias("_m"),
+        F.min("raa").over(ring).alias("_first"),
+        F.lead("raa").over(ring.orderBy("raa")).alias("_next"),
+    )
+    arcs = spots.select(
+        "wind",
+        "sza",
+        "_first",
+        F.col("raa").alias("_lo"),
+        F.coalesce("_next", F.col("_first") + 360.0).alias("_hi"),
+        F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1 - n), F.lit(n)), lambda k: F.pmod(F.col("_pos") + k, F.col("_m"))))).alias("_pos"),
+    )
+    choices = arcs.join(spots.select("wind", "sza", "_pos", "raa"), ["wind", "sza", "_pos"]).join(few, ["wind", "sza", "raa"])
+    around = F.pmod(F.col("_raa"), F.lit(360.0))
+    turned = F.when(around < F.col("_first"), around + 360.0).otherwise(around)
+    joined = (
+        q.join(choices.drop("_pos"), ["wind", "sza"])
+        .where((turned >= F.col("_lo")) & (turned < F.col("_hi")))
+        .withColumn("gap", circular_diff(F.col("raa"), F.col("_raa")))
+        .drop("_lo", "_hi", "_first")
+    )
     w = Window.partitionBy(ident).orderBy(F.round("gap", 9), "_tie", "id")
     return joined.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).drop("_raa", "_tie")
 
@@ -536,12 +564,31 @@ def bracket(axis: Column, x: Column) -> Column:
 
 
 def lut_bracket_join(df: DataFrame, lut: DataFrame, curve: Sequence[str], x: str, out: str) -> DataFrame:
-    """Interpolate a look-up table of (curve..., x, y) at the x of every row.
+    """Interpolate a look-up table of (curve..., x, y) at the x of every row, ends held.
 
-    A curve has as many points as its axis has steps, a few tens; the join is on the curve key.
+    The table becomes segments; a row joins its curve by key and the one segment that holds its x.
+    A curve has as many segments as its axis has steps, a few tens.
     """
-    axes = lut.groupBy(*curve).agg(F.array_sort(F.collect_list(F.struct("x", "y"))).alias("_axis"))
-    return df.join(axes, list(curve)).withColumn(out, bracket(F.col("_axis"), F.col(x).cast("double"))).drop("_axis")
+    w = Window.partitionBy(*curve).orderBy("x")
+    seg = lut.select(
+        *curve,
+        F.col("x").cast("double").alias("_x0"),
+        F.col("y").cast("double").alias("_y0"),
+        F.lead(F.col("x").cast("double")).over(w).alias("_x1"),
+        F.lead(F.col("y").cast("double")).over(w).alias("_y1"),
+        (F.row_number().over(w) == 1).alias("_first"),
+    ).select(
+        "*",
+        F.when(F.col("_first"), F.lit(float("-inf"))).otherwise(F.col("_x0")).alias("_lo"),
+        F.coalesce("_x1", F.lit(float("inf"))).alias("_hi"),
+    )
+    v = F.col(x).cast("double")
+    held = F.least(F.greatest(v, F.col("_x0")), F.coalesce("_x1", "_x0"))
+    slope = F.coalesce((F.col("_y1") - F.col("_y0")) / (F.col("_x1") - F.col("_x0")), F.lit(0.0))
+    joined = df.join(seg, list(curve)).where((v >= F.col("_lo")) & (v < F.col("_hi")))
+    return joined.withColumn(out, F.col("_y0") + (held - F.col("_x0")) * slope).drop(
+        "_x0", "_y0", "_x1", "_y1", "_first", "_lo", "_hi"
+    )
 
 
 def hours_around(time: Column) -> tuple[Column, Column, Column]:
