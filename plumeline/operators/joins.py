@@ -314,9 +314,16 @@ def seasonal_window_join(
     return every.join(used.select(target, "branch"), [target, "branch"], "left_semi")
 
 
-def snap_to_grid(value: Column, grid: Column) -> Column:
-    """Nearest value of a short grid given as an array; the smaller one on a tie."""
-    return F.array_min(F.transform(grid, lambda g: F.struct(F.abs(g - value).alias("d"), g.alias("g"))))["g"]
+def snap_to_grid(value: Column, grid: Sequence[float]) -> Column:
+    """Nearest value of a short grid; the smaller one on a tie, null for null."""
+    marks = sorted(float(g) for g in grid)
+    if len(marks) > 64:
+        items = F.array(*[F.lit(g) for g in marks])
+        return F.array_min(F.transform(items, lambda g: F.struct(F.abs(g - value).alias("d"), g.alias("g"))))["g"]
+    out = F.when(value.isNull(), F.lit(None).cast("double"))
+    for low, high in zip(marks, marks[1:]):
+        out = out.when(value <= (low + high) / 2, F.lit(low))
+    return out.otherwise(F.lit(marks[-1]))
 
 
 def snap_to_grid_lookup(
@@ -338,12 +345,11 @@ def snap_to_grid_lookup(
     lists = grids.agg(F.collect_set("wind").alias("w"), F.collect_set("sza").alias("s")).first()
     if len(lists["w"]) + len(lists["s"]) > max_grid:
         raise ValueError("wind and zenith of the bank are not on a grid")
-    array = lambda xs: F.array(*[F.lit(float(x)) for x in sorted(xs)])
     q = queries.select(
         ident,
         F.col("raa").alias("_raa"),
-        snap_to_grid(F.col("wind"), array(lists["w"])).alias("wind"),
-        snap_to_grid(F.col("sza"), array(lists["s"])).alias("sza"),
+        snap_to_grid(F.col("wind"), lists["w"]).alias("wind"),
+        snap_to_grid(F.col("sza"), lists["s"]).alias("sza"),
     )
     order = F.xxhash64(F.col("id").cast("string"), F.lit(seed)) if tie is None else tie
     node = Window.partitionBy("wind", "sza", "raa").orderBy(order, "id")
@@ -361,21 +367,23 @@ def snap_to_grid_lookup(
         F.lead("raa").over(ring.orderBy("raa")).alias("_next"),
     )
     arcs = spots.select(
-        "wind",
-        "sza",
-        "_first",
-        F.col("raa").alias("_lo"),
-        F.coalesce("_next", F.col("_first") + 360.0).alias("_hi"),
-        F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1 - n), F.lit(n)), lambda k: F.pmod(F.col("_pos") + k, F.col("_m"))))).alias("_pos"),
+        "wind", "sza", "_first", F.col("_pos").alias("_arc"), F.col("raa").alias("_lo"), F.coalesce("_next", F.col("_first") + 360.0).alias("_hi")
+    )
+    near = F.array_distinct(F.transform(F.sequence(F.lit(1 - n), F.lit(n)), lambda k: F.pmod(F.col("_pos") + k, F.col("_m"))))
+    choices = (
+        spots.select("wind", "sza", F.col("_pos").alias("_arc"), F.explode(near).alias("_pos"))
+        .join(spots.select("wind", "sza", "_pos", "raa"), ["wind", "sza", "_pos"])
+        .join(few, ["wind", "sza", "raa"])
+        .drop("_pos")
     )
-    choices = arcs.join(spots.select("wind", "sza", "_pos", "raa"), ["wind", "sza", "_pos"]).join(few, ["wind", "sza", "raa"])
     around = F.pmod(F.col("_raa"), F.lit(360.0))
     turned = F.when(around < F.col("_first"), around + 360.0).otherwise(around)
+    placed = q.join(arcs, ["wind", "sza"]).where((turned >= F.col("_lo")) & (turned < F.col("_hi")))
     joined = (
-        q.join(choices.drop("_pos"), ["wind", "sza"])
-        .where((turned >= F.col("_lo")) & (turned < F.col("_hi")))
+        placed.drop("_first", "_lo", "_hi")
+        .join(choices, ["wind", "sza", "_arc"])
         .withColumn("gap", circular_diff(F.col("raa"), F.col("_raa")))
-        .drop("_lo", "_hi", "_first")
+        .drop("_arc")
     )
     w = Window.partitionBy(ident).orderBy(F.round("gap", 9), "_tie", "id")
     return joined.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).drop("_raa", "_tie")
