@@ -12,7 +12,6 @@ number of cut points is proportional to their share of the rows, so the table is
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -50,20 +49,20 @@ def _cut_table(df: DataFrame, keys: Sequence[str], value: str, limit: int) -> Da
 
 def with_ranges(df: DataFrame, keys: Sequence[str], value: str, cuts: DataFrame) -> DataFrame:
     """Add ``_range``, the number of cut points at or below the value (0 for small groups)."""
-    named = cuts.select(*[F.col(k).alias(f"_c_{k}") for k in keys], "_cuts")
-    if keys:
-        on = F.lit(True)
-        for k in keys:
-            on = on & F.col(k).eqNullSafe(F.col(f"_c_{k}"))
-        joined = df.join(F.broadcast(named), on, "left")
-    else:
-        points = named.first()["_cuts"]
-        # One constant, folded by the optimizer, instead of thousands of literals.
-        joined = df.withColumn("_cuts", F.from_json(F.lit(json.dumps(list(points))), "array<double>"))
+    names = list(keys)
+    if not names:
+        # The whole table is one group: its single row of cut points rides along on a constant key.
+        names = ["_whole"]
+        df, cuts = df.withColumn("_whole", F.lit(0)), cuts.withColumn("_whole", F.lit(0))
+    named = cuts.select(*[F.col(k).alias(f"_c_{k}") for k in names], "_cuts")
+    on = F.lit(True)
+    for k in names:
+        on = on & F.col(k).eqNullSafe(F.col(f"_c_{k}"))
+    joined = df.join(F.broadcast(named), on, "left")
     slot = F.coalesce(
         F.size(F.filter("_cuts", lambda c: c <= F.col(value).cast("double"))), F.lit(0)
     )
-    return joined.withColumn("_range", slot).drop("_cuts", *[f"_c_{k}" for k in keys])
+    return joined.withColumn("_range", slot).drop("_cuts", "_whole", *[f"_c_{k}" for k in names])
 
 
 def ordered_totals(
