@@ -341,15 +341,17 @@ def snap_to_grid_lookup(
     distinct wind and zenith values of the bank. Rows of one node are interchangeable, so at most n
     per node (by a seeded hash, or by ``tie``) take part; a ring has a bounded number of azimuths.
     """
-    grids = bank.select("wind", "sza").distinct()
-    lists = grids.agg(F.collect_set("wind").alias("w"), F.collect_set("sza").alias("s")).first()
-    if len(lists["w"]) + len(lists["s"]) > max_grid:
-        raise ValueError("wind and zenith of the bank are not on a grid")
+    lists = {}
+    for axis in ("wind", "sza"):
+        found = bank.select(axis).distinct().limit(max_grid + 1).collect()
+        if len(found) > max_grid:
+            raise ValueError(f"{axis} of the bank is not on a grid")
+        lists[axis] = [r[0] for r in found if r[0] is not None]
     q = queries.select(
         ident,
         F.col("raa").alias("_raa"),
-        snap_to_grid(F.col("wind"), lists["w"]).alias("wind"),
-        snap_to_grid(F.col("sza"), lists["s"]).alias("sza"),
+        snap_to_grid(F.col("wind"), lists["wind"]).alias("wind"),
+        snap_to_grid(F.col("sza"), lists["sza"]).alias("sza"),
     )
     order = F.xxhash64(F.col("id").cast("string"), F.lit(seed)) if tie is None else tie
     node = Window.partitionBy("wind", "sza", "raa").orderBy(order, "id")

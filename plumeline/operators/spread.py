@@ -59,9 +59,15 @@ def with_ranges(df: DataFrame, keys: Sequence[str], value: str, cuts: DataFrame)
     for k in names:
         on = on & F.col(k).eqNullSafe(F.col(f"_c_{k}"))
     joined = df.join(F.broadcast(named), on, "left")
-    slot = F.coalesce(
-        F.size(F.filter("_cuts", lambda c: c <= F.col(value).cast("double"))), F.lit(0)
+    # Binary search: a dozen looks into the sorted cut points.
+    v = F.col(value).cast("double")
+    strides = F.array(*[F.lit(2**k) for k in range(MAX_CUTS.bit_length() - 1, -1, -1)])
+    below = F.aggregate(
+        strides,
+        F.lit(0),
+        lambda lo, s: F.when((lo + s <= F.size("_cuts")) & (F.get("_cuts", lo + s - 1) <= v), lo + s).otherwise(lo),
     )
+    slot = F.coalesce(F.when(F.col("_cuts").isNotNull(), below), F.lit(0))
     return joined.withColumn("_range", slot).drop("_cuts", "_whole", *[f"_c_{k}" for k in names])
 
 

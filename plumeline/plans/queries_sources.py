@@ -53,13 +53,8 @@ def file_index(spark, d):
     keyed = rows.select("n_nationkey", F.col("n_name").alias("key"), "c_custkey")
     keyed.where("n_nationkey % 2 = 0").write.partitionBy("key").parquet(first)
     keyed.write.partitionBy("key").parquet(second)
-    files = [
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(r).select(
-            F.regexp_extract("path", "key=([A-Z_0-9]+)", 1).alias("key"), F.lit(i).alias("root")
-        )
-        for i, r in enumerate((first, second))
-    ]
-    return files[0].unionByName(files[1]).groupBy("key").agg(F.min("root").alias("root"))
+    index = scans.file_index(spark, [first, second], "*.parquet", "key=([A-Z_0-9]+)", whole_path=True)
+    return index.select(F.upper("key").alias("key"), "root")
 
 
 @query("manifest_scan", "SELECT split_part(url, '/', 3) AS folder, split_part(url, '/', -1) AS name, count(*) AS files FROM pages GROUP BY ALL")

@@ -50,14 +50,20 @@ def latest_snapshot(df: DataFrame, day: str = "snapshot_date", require: str | No
     return df.where(F.col(day) == have.agg(F.max(day)).scalar())
 
 
-def file_index(spark: SparkSession, roots: Sequence[str], glob: str, pattern: str = TIMESTAMP_KEY) -> DataFrame:
-    """Key and path of every file under several roots; the first root that has a key wins."""
+def file_index(
+    spark: SparkSession, roots: Sequence[str], glob: str, pattern: str = TIMESTAMP_KEY, whole_path: bool = False
+) -> DataFrame:
+    """Key and path of every file under several roots; the first root that has a key wins.
+
+    Only names are read. The key comes from the file name, or from the whole path.
+    """
+    name = F.col("path") if whole_path else F.element_at(F.split("path", "/"), -1)
     out = None
     for priority, root in enumerate(roots):
         files = (
             spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(root)
         )
-        part = files.select(extract_key(F.element_at(F.split("path", "/"), -1), pattern).alias("key"), "path", F.lit(priority).alias("root"))
+        part = files.select(extract_key(name, pattern).alias("key"), "path", F.lit(priority).alias("root"))
         out = part if out is None else out.unionByName(part)
     found = out.where("key is not null")
     return found.groupBy("key").agg(F.min(F.struct("root", "path")).alias("b")).select("key", "b.path", "b.root")
