@@ -158,7 +158,7 @@ PIXELS = (
     SPECTRA
     + """,
 pixels AS (
-  SELECT scene, row, col, label, mask, i - 1 AS band, CAST(spectrum[i] AS DOUBLE) + 1 AS value
+  SELECT scene, row, col, label, mask, CAST(i - 1 AS INTEGER) AS band, CAST(spectrum[i] AS DOUBLE) + 1 AS value
   FROM spectra, range(1, 65) t(i))"""
 )
 

@@ -271,7 +271,7 @@ def bank_queries(spark, d):
 )
 def snap_to_grid_lookup(spark, d):
     out = J.snap_to_grid_lookup(bank_queries(spark, d), bank(spark, d), "event_id", 2, tie=F.col("id"))
-    return rounded(out.select("event_id", "id", "wind", "sza", "gap", "rank"))
+    return rounded(out.select("event_id", "id", "wind", "sza", "gap", F.col("rank").cast("bigint").alias("rank")))
 
 
 @query(
@@ -292,7 +292,8 @@ def knn_circular(spark, d):
         ((c * F.lit(7.7) + 0.011) % 360).alias("raa"),
         (c % 47 / F.lit(10.0) + 1.53).alias("wind"),
     )
-    return rounded(J.knn_circular(q, nodes, "c_custkey", 3))
+    near = J.knn_circular(q, nodes, "c_custkey", 3)
+    return rounded(near.withColumn("rank", F.col("rank").cast("bigint")))
 
 
 POLYGONS = """poly AS (SELECT n_name AS name, n_nationkey % 5 * 70.0 - 140 AS cx, n_nationkey // 5 * 30.0 - 60 AS cy, 12.037 + n_nationkey % 7 + n_nationkey * 0.0013 AS r FROM nation)"""
@@ -457,7 +458,7 @@ def pair_mate_join(spark, d):
 
 @query(
     "positional_alignment_join",
-    """SELECT (SELECT count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 490000)) AS only_a, 0 AS only_b""",
+    """SELECT (SELECT count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 490000)) AS only_a, 0 :: BIGINT AS only_b""",
 )
 def positional_alignment_join(spark, d):
     a = fx.table(spark, d, "customer").select(F.col("c_custkey").alias("k"))

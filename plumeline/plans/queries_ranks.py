@@ -38,7 +38,7 @@ def top_n_references(spark, d):
     top = R.top_n_references(
         c, "site", "difference", "cloud", "difference", "candidate", cloud_max=0.3, cloud_relaxed=0.6, methane_max=0.8
     )
-    return top.select("site", "candidate", "pass", "rank")
+    return top.select("site", "candidate", "pass", F.col("rank").cast("bigint").alias("rank"))
 
 
 def _pairs(spark, d):
@@ -64,7 +64,7 @@ def fill_short_list(spark, d):
     out = R.fill_short_list(
         _pairs(spark, d), "site", "target_day", "day", F.col("cloud") <= 0.2, 1 - F.col("cloud"), "candidate", 4
     )
-    return out.drop("cloud")
+    return out.drop("cloud").withColumn("slot", F.col("slot").cast("bigint"))
 
 
 @query(
@@ -74,7 +74,7 @@ def fill_short_list(spark, d):
 def season_order(spark, d):
     order = R.season_order(F.col("day"), F.col("target_day"))
     return R.head_per_group(_pairs(spark, d), ["site"], [*order, F.col("candidate")], 5, "rank").select(
-        "site", "candidate", "rank"
+        "site", "candidate", F.col("rank").cast("bigint").alias("rank")
     )
 
 
@@ -94,7 +94,8 @@ def head_per_group(spark, d):
 )
 def slot_number(spark, d):
     t = fx.table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
-    return R.head_per_group(t, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")], 4, "slot").drop("o_orderdate")
+    top = R.head_per_group(t, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")], 4, "slot")
+    return top.select("o_custkey", "o_orderkey", F.col("slot").cast("bigint").alias("slot"))
 
 
 @query(
