@@ -389,9 +389,9 @@ def bbox_per_instance(spark, d):
 @query(
     "band_stats",
     """WITH v AS (SELECT p_brand AS sample, p_size % 4 AS band, CASE WHEN p_size % 10 > 0 THEN p_retailprice END AS x FROM part)
-    SELECT sample, band, min(x) AS min, max(x) AS max, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS sd,
-      round(100 * count(x) / count(*), 6) AS valid, round(quantile_cont(x, 0.25), 6) AS p25, round(quantile_cont(x, 0.5), 6) AS p50,
-      round(quantile_cont(x, 0.75), 6) AS p75, round(quantile_cont(x, 0.95), 6) AS p95 FROM v GROUP BY ALL""",
+    SELECT sample, band, coalesce(min(x), 0) AS min, coalesce(max(x), 0) AS max, coalesce(round(avg(x), 6), 0) AS mean, coalesce(round(stddev_pop(x), 6), 0) AS sd,
+      round(100 * count(x) / count(*), 6) AS valid, coalesce(round(quantile_cont(x, 0.25), 6), 0) AS p25, coalesce(round(quantile_cont(x, 0.5), 6), 0) AS p50,
+      coalesce(round(quantile_cont(x, 0.75), 6), 0) AS p75, coalesce(round(quantile_cont(x, 0.95), 6), 0) AS p95 FROM v GROUP BY ALL""",
 )
 def band_stats(spark, d):
     t = fx.table(spark, d, "part").select(
