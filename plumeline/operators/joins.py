@@ -190,26 +190,57 @@ def accept_match(inter_m2: Column, iou: Column, in_a: Column, in_b: Column, dist
     )
 
 
+# Candidate pairs one grid cell may hold before a smaller radius is searched first.
+MAX_CELL_PAIRS = 4_000_000
+
+
+def _numbered(df: DataFrame, keys: Sequence[str], ident: str, limit: int) -> DataFrame:
+    """Position ``n`` of a row among the rows of its keys; crowded keys are numbered in shares."""
+    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c")).first()[0]
+    if top is None or top <= limit:
+        return df.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy(ident)))
+    shared = df.withColumn("_s", F.pmod(F.xxhash64(ident), F.lit(256)))
+    inside = shared.withColumn("_i", F.row_number().over(Window.partitionBy(*keys, "_s").orderBy(ident)))
+    earlier = Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    starts = shared.groupBy(*keys, "_s").agg(F.count(F.lit(1)).alias("_c"))
+    starts = starts.select(*keys, "_s", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_o"))
+    return inside.join(starts, [*keys, "_s"]).withColumn("n", F.col("_i") + F.col("_o")).drop("_s", "_i", "_o")
+
+
+def _search_levels(left: DataFrame, right: DataFrame, scene: str, limit: float, max_pairs: int) -> list[float]:
+    """Radii to search, smallest first, so that no grid cell offers too many pairs at once."""
+    levels = [limit]
+    while levels[0] > limit / 2**30:
+        cell = lambda c: F.floor(F.col(c) / levels[0])  # noqa: B023, E731
+        na = left.groupBy(scene, cell("ax").alias("cx"), cell("ay").alias("cy")).agg(F.count(F.lit(1)).alias("na"))
+        nb = right.groupBy(scene, cell("bx").alias("cx"), cell("by").alias("cy")).agg(F.count(F.lit(1)).alias("nb"))
+        load = na.join(nb, [scene, "cx", "cy"]).agg(F.max(F.col("na") * F.col("nb"))).first()[0]
+        if load is None or load <= max_pairs:
+            break
+        levels.insert(0, levels[0] / 8)
+    return levels
+
+
 def greedy_distance_pairs(
-    a: DataFrame, b: DataFrame, scene: str, ident: str, limit: float, levels: Sequence[float] = (0.125, 1.0)
+    a: DataFrame, b: DataFrame, scene: str, ident: str, limit: float, max_pairs: int = MAX_CELL_PAIRS, crowd: int = 1_000_000
 ) -> DataFrame:
     """Closest cross pairs first, each point used once, distances under the limit.
 
-    Points have x and y in the unit of the limit. Coincident points are paired by rank; then the
-    search radius grows, so that crowded places are thinned out at a small radius before wider
-    neighbourhoods are looked at. Within a radius, mutual nearest neighbours are taken in rounds.
+    Points have x and y in the unit of the limit. Coincident points are paired by their position in
+    id order. Where cells are crowded the search starts at a smaller radius, which thins them out
+    before wider neighbourhoods are looked at. Within a radius, mutual nearest neighbours are taken
+    in rounds until none is left.
     """
     left = a.select(scene, F.col(ident).alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"))
     right = b.select(scene, F.col(ident).alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    wl = Window.partitionBy(scene, "ax", "ay").orderBy("a")
-    wr = Window.partitionBy(scene, "bx", "by").orderBy("b")
-    same = left.withColumn("n", F.row_number().over(wl)).join(
-        right.withColumn("n", F.row_number().over(wr)).withColumnRenamed("bx", "ax").withColumnRenamed("by", "ay"),
+    same = _numbered(left, [scene, "ax", "ay"], "a", crowd).join(
+        _numbered(right, [scene, "bx", "by"], "b", crowd).withColumnRenamed("bx", "ax").withColumnRenamed("by", "ay"),
         [scene, "ax", "ay", "n"],
     )
     found = cut_lineage(same.select(scene, "a", "b", F.lit(0.0).alias("distance")))
-    for level in levels:
-        radius = limit * level
+    rest_a = left.join(found.select(scene, "a"), [scene, "a"], "left_anti")
+    rest_b = right.join(found.select(scene, "b"), [scene, "b"], "left_anti")
+    for radius in _search_levels(rest_a, rest_b, scene, limit, max_pairs):
         while True:
             free_a = left.join(found.select(scene, "a"), [scene, "a"], "left_anti")
             free_b = right.join(found.select(scene, "b"), [scene, "b"], "left_anti")

@@ -26,12 +26,13 @@ def test_min_cost_assignment():
         assert len(got) == min(n, m) and abs(sum(cost[i, j] for i, j in got) - best) < 1e-9
 
 
-def test_greedy_pairs(spark):
+@pytest.mark.parametrize("max_pairs", [10**6, 3])
+def test_greedy_pairs(spark, max_pairs):
     rng = random.Random(4)
     pts = [(s, i, rng.choice([0.0, 1.0]) if i < 4 else rng.random() * 6, rng.random() * 6 if i >= 4 else 2.0) for s in range(3) for i in range(20)]
     df = spark.createDataFrame(pts, "scene int, id int, x double, y double")
     a, b = df.where("id % 2 = 0"), df.where("id % 2 = 1")
-    got = {(r["scene"], r["a"], r["b"]) for r in joins.greedy_distance_pairs(a, b, "scene", "id", 2.0).collect()}
+    got = {(r["scene"], r["a"], r["b"]) for r in joins.greedy_distance_pairs(a, b, "scene", "id", 2.0, max_pairs=max_pairs).collect()}
     want = set()
     for s in range(3):
         left = [p for p in pts if p[0] == s and p[1] % 2 == 0]
@@ -46,6 +47,13 @@ def test_greedy_pairs(spark):
     assert got == want
 
 
+def test_crowded_places_are_numbered_once(spark):
+    df = spark.createDataFrame([(0, 1.0, i) for i in range(500)] + [(1, 2.0, i) for i in range(20)], "s int, x double, i int")
+    out = joins._numbered(df, ["s", "x"], "i", limit=50)
+    for s, k in ((0, 500), (1, 20)):
+        assert sorted(r["n"] for r in out.where(F.col("s") == s).collect()) == list(range(1, k + 1))
+
+
 def test_balanced_select_equals_row_walk(spark):
     rng = random.Random(8)
     rows = [
