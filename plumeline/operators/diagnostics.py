@@ -32,21 +32,27 @@ def twin_report(pairs: DataFrame) -> DataFrame:
     )
 
 
-def group_components_report(links: DataFrame, scene: str, a: str, b: str) -> DataFrame:
-    """Groups of linked members per scene: how many, the largest, and the list by size then name."""
+def group_components_report(links: DataFrame, scene: str, a: str, b: str, members: bool = True) -> DataFrame:
+    """Groups of linked members per scene: how many, the largest, and the list by size then name.
+
+    Lists are for scenes of ordinary size; without them only counts are kept.
+    """
     node = lambda c: F.concat_ws("/", F.col(scene), F.col(c))
     comp = connected_components(links.select(node(a).alias("src"), node(b).alias("dst")))
     named = (
         links.select(scene, F.col(a).alias("member")).unionByName(links.select(scene, F.col(b).alias("member"))).distinct()
         .withColumn("node", F.concat_ws("/", scene, "member")).join(comp, "node")
     )
+    sizes = named.groupBy(scene, "component").agg(F.count(F.lit(1)).alias("_k"))
+    report = sizes.groupBy(scene).agg(F.count(F.lit(1)).alias("groups"), F.max("_k").alias("largest"))
+    if not members:
+        return report
     # A scene's groups come from its plumes, at most 255 of them.
     groups = named.groupBy(scene, "component").agg(F.array_sort(F.collect_set(F.col("member").cast("string"))).alias("members"))
     keyed = F.struct((-F.size("members")).alias("k"), F.col("members"))
-    lists = groups.groupBy(scene).agg(
-        F.count(F.lit(1)).alias("groups"), F.max(F.size("members")).alias("largest"), F.array_sort(F.collect_list(keyed)).alias("_l")
-    )
-    return lists.select(scene, "groups", "largest", F.to_json(F.transform("_l", lambda g: g["members"])).alias("members"))
+    lists = groups.groupBy(scene).agg(F.array_sort(F.collect_list(keyed)).alias("_l"))
+    text = F.to_json(F.transform("_l", lambda g: g["members"])).alias("members")
+    return report.join(lists.select(scene, text), scene)
 
 
 def orphan_kinds(orphans: DataFrame, matched: DataFrame, overlaps: DataFrame) -> DataFrame:

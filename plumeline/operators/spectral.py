@@ -482,13 +482,32 @@ def retrieve_scene(
     )
 
 
-def retrieve_column_groups(df: DataFrame, template: Sequence[float], config: FilterConfig) -> DataFrame:
-    """Adjacent detector columns filtered together, valid pixels only."""
+def retrieve_column_groups(
+    df: DataFrame, template: Sequence[float], config: FilterConfig, limit: int = COLUMN_LIMIT
+) -> DataFrame:
+    """Adjacent detector columns filtered together, valid pixels only.
+
+    Groups above the limit are filtered by distributed sums, as in ``retrieve_scene``.
+    """
     t = np.asarray(template, dtype="float64")
     schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in ("scene", "col")) + ", " + RESULT
     grouped = df.select("scene", "col", "row", "spectrum", F.floor(F.col("col") / config.column_step).alias("_g"))
     run = _retrieve_group(t, config, False, ["scene", "_g"], ["scene", "col", "row"])
-    return grouped.groupBy("scene", "_g").applyInPandas(run, schema)
+    counts = grouped.groupBy("scene", "_g").agg(F.count(F.lit(1)).alias("_n"))
+    big = counts.where(F.col("_n") > limit).select("scene", "_g")
+    if big.isEmpty():
+        return grouped.groupBy("scene", "_g").applyInPandas(run, schema)
+    small = grouped.join(big, ["scene", "_g"], "left_anti").groupBy("scene", "_g").applyInPandas(run, schema)
+    good = F.forall("spectrum", lambda v: v.isNotNull() & ~F.isnan(v) & (v > -9990.0))
+    large = grouped.join(big, ["scene", "_g"], "left_semi").withColumn("ok", good)
+    whole = large.where("ok").select("scene", F.col("_g").alias("col"), F.struct("row", "col").alias("row"), "spectrum", "ok")
+    done = _large_columns(whole, t, config)
+    done = done.select("scene", "row.col", "row.row", "enhancement", "albedo", "iterations", "converged")
+    none = F.lit(None).cast("double")
+    empty = large.where("not ok").select(
+        "scene", "col", "row", none.alias("enhancement"), none.alias("albedo"), F.lit(0).alias("iterations"), F.lit(False).alias("converged")
+    )
+    return small.unionByName(done).unionByName(empty)
 
 
 def wide_window_filter(

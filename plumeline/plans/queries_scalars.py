@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from plumeline.functions import angles as A
 from plumeline.functions import text as X
 from plumeline.operators import clean as C
+from plumeline.operators import spread
 from plumeline.plans import fixtures as fx
 from plumeline.plans.registry import query
 
@@ -431,15 +432,16 @@ def parse_number_list(spark, d):
 
 @query(
     "format_wkt_multipoint",
-    """SELECT country, CASE WHEN count(*) FILTER (flux >= 0) = 0 THEN 'MULTIPOINT EMPTY' ELSE 'MULTIPOINT (' ||
+    """SELECT country, 0 AS part, CASE WHEN count(*) FILTER (flux >= 0) = 0 THEN 'MULTIPOINT EMPTY' ELSE 'MULTIPOINT (' ||
        string_agg(printf('(%.2f %.2f)', lon, lat), ', ' ORDER BY lon, lat) FILTER (flux >= 0) || ')' END AS points
        FROM (WITH """ + fx.POINTS + """ SELECT * FROM points) GROUP BY country""",
 )
 def format_wkt_multipoint(spark, d):
     lon = F.when(F.col("flux") >= 0, F.col("lon"))
     pts = F.array_sort(F.collect_list(F.struct(lon.alias("lon"), F.col("lat"))))
-    # A bounded number of points per sample feeds one text value.
-    return fx.points(spark, d).groupBy("country").agg(pts.alias("p")).select("country", X.multipoint(F.col("p"), 2).alias("points"))
+    # Very large groups give several numbered texts.
+    rows = spread.with_parts(fx.points(spark, d), ["country"], "id")
+    return rows.groupBy("country", "part").agg(pts.alias("p")).select("country", "part", X.multipoint(F.col("p"), 2).alias("points"))
 
 
 @query(

@@ -96,6 +96,21 @@ def test_large_detector_columns(spark, method):
     same_rows(rows_of(large)[1], rows_of(small)[1])
 
 
+def test_large_column_groups(spark):
+    rng = np.random.default_rng(4)
+    rows = [
+        (0, r, c, [-9999.0] * 4 if (r + c) % 19 == 3 else [float(v) for v in 2 + 0.3 * rng.standard_normal(4)])
+        for r in range(60)
+        for c in range(4)
+    ]
+    df = spark.createDataFrame(rows, "scene int, row int, col int, spectrum array<double>")
+    config = spectral.AlbedoConfig(column_step=2)
+    keep = lambda t: t.select("scene", "row", "col", F.round("enhancement", 4).alias("e"), F.round("albedo", 8).alias("a"))
+    small = keep(spectral.retrieve_column_groups(df, [-0.2, -0.5, -0.1, -0.4], config))
+    large = keep(spectral.retrieve_column_groups(df, [-0.2, -0.5, -0.1, -0.4], config, limit=10))
+    same_rows(rows_of(large)[1], rows_of(small)[1])
+
+
 def test_assignment_by_component(spark):
     rng = random.Random(9)
     pairs, sizes = [], []
