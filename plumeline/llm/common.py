@@ -89,9 +89,19 @@ class Words:
         offsets = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
         self.starts = offsets - offsets[0]
 
-    def sums(self, values: np.ndarray) -> np.ndarray:
-        """Per text, the sum over its words of a value per different word (rows of a matrix)."""
-        return run_sums(values[self.codes], self.starts)
+    def collapse(self) -> np.ndarray:
+        """Keep one of each run of equal words; returns how many words each text lost."""
+        same = np.zeros(len(self.codes), bool)
+        same[1:] = self.codes[1:] == self.codes[:-1]
+        same[self.starts[:-1][np.diff(self.starts) > 0]] = False
+        gone = np.concatenate([[0], np.cumsum(same)])[self.starts]
+        self.codes, self.starts = self.codes[~same], self.starts - gone
+        return np.diff(gone)
+
+    def sums(self, values: np.ndarray, width: int = 8) -> np.ndarray:
+        """Per text, the sum over its words of a row per different word; a few columns at a time."""
+        blocks = [run_sums(values[:, a : a + width][self.codes], self.starts) for a in range(0, values.shape[1], width)]
+        return np.concatenate(blocks, axis=1) if blocks else np.zeros((len(self.starts) - 1, 0))
 
 
 def run_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -136,3 +146,39 @@ def grams(words: pa.StringArray, sizes: range, buckets: int) -> tuple[np.ndarray
 def crc(ids: np.ndarray) -> int:
     """CRC32 of ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4"))
+
+
+def weighted_bag(doc: np.ndarray, bucket: np.ndarray, weight: np.ndarray, n: int, buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sparse rows (bucket numbers, sums of weights) of n documents."""
+    cell, at = np.unique(doc * buckets + bucket, return_inverse=True)
+    total = np.bincount(at, weight, len(cell)).astype(np.float32)
+    cuts = np.searchsorted(cell, np.arange(n + 1) * buckets)
+    return [((cell[a:b] % buckets).astype(np.int32), total[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+
+def spread_bag(words: Words, word: np.ndarray, bucket: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, bucket, weight) from what each different word holds: (word, bucket, weight), sorted by word."""
+    order = np.argsort(word, kind="stable")
+    word, bucket, weight = word[order], bucket[order], weight[order]
+    count = np.bincount(word, minlength=len(words.vocabulary))
+    place = np.cumsum(count) - count
+    # one row per different word of a document
+    doc = np.repeat(np.arange(len(words.starts) - 1), np.diff(words.starts))
+    cell, times = np.unique(doc * max(len(count), 1) + words.codes, return_counts=True)
+    doc, code = cell // max(len(count), 1), cell % max(len(count), 1)
+    at = ragged(place[code], count[code])
+    return np.repeat(doc, count[code]), bucket[at], weight[at] * np.repeat(times, count[code])
+
+
+def sparse_rows(columns: list[pa.Array], names: list[str], rows: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Sparse rows as two binary columns beside others."""
+    packed = [pa.array([x.tobytes() for x, _ in rows], pa.binary()), pa.array([v.tobytes() for _, v in rows], pa.binary())]
+    return pa.RecordBatch.from_arrays([*columns, *packed], [*names, "buckets", "weights"])
+
+
+def read_sparse(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Collected sparse rows as (starts, buckets, weights)."""
+    found = [(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["weights"], np.float32)) for r in rows]
+    starts = np.concatenate([[0], np.cumsum([len(b) for b, _ in found], dtype=np.int64)]).astype(np.int64)
+    empty = [(np.zeros(0, np.int32), np.zeros(0, np.float32))]
+    return starts, np.concatenate([b for b, _ in found or empty]), np.concatenate([w for _, w in found or empty])

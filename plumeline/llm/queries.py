@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumeline.llm import packing, repair
-from plumeline.llm.common import table
+from plumeline.llm import chat, langid, mixing, packing, quality, repair, toxicity
+from plumeline.llm.common import remainder, table
 from plumeline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,46 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repair.read_shards(spark, path).select("part", "seq", F.col("key").alias("doc_id"), "place", "n_tokens", F.crc32("ids").alias("ids_crc32"))
     starts = repair.shard_starts(spark, path)
     return found.join(starts, ["part", "seq"]).select("doc_id", (F.col("shard_start") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def held_out(mod: int, rest: int):
+    """Rows kept from learning; a null id is not held out, but has no label either."""
+    return F.coalesce(remainder("doc_id", mod) == rest, F.lit(False))
+
+
+@query("op3_language_families")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs.where(~held_out(5, 0)))
+    return langid.identify(docs, model).select("doc_id", held_out(5, 0).alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_subword_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels.where(~held_out(4, 2)))
+    return toxicity.score(docs, model).select("doc_id", held_out(4, 2).alias("held_out"), "score", "predicted")
+
+
+@query("op8_quota_mix", mixing.SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op9_budget_windows")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    one = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", one), (-7, 1, "assistant", one)], turns.schema)
+    found = chat.read_back(chat.budgeted_windows(turns.unionByName(more)))
+    return found.select(
+        "conv_id", "n_turns", F.sha2("turns", 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+@query("op10_neighbour_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.learn(docs, labels.where(~held_out(3, 1)))
+    return quality.score(docs, model).select("doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
