@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumeline.llm import chat, langid, mixing, packing, quality, repair, toxicity
+from plumeline.llm import chat, langid, mixing, packing, quality, repair, simhash, topk, toxicity, versions
 from plumeline.llm.common import remainder, table
 from plumeline.session import scratch_path
 
@@ -63,6 +63,23 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out(4, 2).alias("held_out"), "score", "predicted")
 
 
+@query("op5_exact_search", topk.SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("id"), topk.scaled(F.col("embedding")).alias("vector"))
+    return topk.search(rows.where("id % 50 = 0"), rows)
+
+
+@query("op6_gray_simhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op7_version_sketches")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = versions.compare_versions(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 @query("op8_quota_mix", mixing.SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
