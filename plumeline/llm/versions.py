@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 #: A paragraph: up to 100 characters without full stop or line end, and the stops after them.
 PARAGRAPH = r"[^.\n]{1,100}[.\n]*|[.\n]+"
 #: Cells of each of a bucket's three rows, first and at each retry; a bucket has about LOAD digests.
-WIDTHS, LOAD = (4, 16, 64), 4
+WIDTHS, LOAD = (4, 16, 64), 3
 #: Bits of a digest: a checksum of the rest, then the bucket, then a place of seven bits per row.
 CHECK, BUCKET, PLACE = 0xFFFF, 16, 32
 
@@ -18,8 +18,9 @@ def _let(value: str, name: str, body: str) -> str:
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def _place(digest: str, row: str | int, width: int) -> str:
-    return f"(shiftright({digest}, {PLACE} + 7 * ({row})) & {width - 1})"
+def _inside(digest: str, cell: str, width: int) -> str:
+    """Whether a digest belongs to a cell: the cell knows its row's shift and its place there."""
+    return f"(shiftright({digest}, {cell}.s) & {width - 1}L) = {cell}.r"
 
 
 def digests(text: str) -> str:
@@ -31,10 +32,9 @@ def digests(text: str) -> str:
 
 def cells(items: str, width: int) -> str:
     """Three rows of cells: how many digests fall in each, and their exclusive or."""
-    zero = "named_struct('c', 0, 'k', 0L)"
     rows = [
-        f"transform(sequence(0, {width - 1}), r -> aggregate({items}, {zero}, "
-        f"(a, d) -> if({_place('d', row, width)} = r, named_struct('c', a.c + 1, 'k', a.k ^ d), a)))"
+        f"transform(sequence(0L, {width - 1}L), r -> aggregate({items}, named_struct('c', 0, 'k', 0L, 's', {PLACE + 7 * row}, 'r', r), "
+        f"(a, d) -> if((shiftright(d, {PLACE + 7 * row}) & {width - 1}L) = r, named_struct('c', a.c + 1, 'k', a.k ^ d, 's', a.s, 'r', a.r), a)))"
         for row in range(3)
     ]
     return f"concat({', '.join(rows)})"
@@ -45,12 +45,13 @@ def peeled(ours: str, theirs: str, width: int) -> str:
 
     A struct of the cells that stay, and (sign, digest) of those found.
     """
-    minus = f"zip_with({cells(ours, width)}, {cells(theirs, width)}, (x, y) -> named_struct('c', x.c - y.c, 'k', x.k ^ y.k))"
-    pure = f"abs(z.c) = 1 and (xxhash64(z.k & ~65535L) & 65535L) = (z.k & 65535L) and {_place('z.k', f'j div {width}', width)} = j % {width}"
-    taken = f"transform(t.cells, (z, j) -> if({_place('one.k', f'j div {width}', width)} = j % {width}, named_struct('c', z.c - one.c, 'k', z.k ^ one.k), z))"
-    step = _let(f"get(filter(t.cells, (z, j) -> {pure}), 0)", "one", f"if(one is null, t, named_struct('cells', {taken}, 'found', array_append(t.found, one)))")
+    minus = f"zip_with({cells(ours, width)}, {cells(theirs, width)}, (x, y) -> named_struct('c', x.c - y.c, 'k', x.k ^ y.k, 's', x.s, 'r', x.r))"
+    pure = f"abs(z.c) = 1 and {_inside('z.k', 'z', width)} and (xxhash64(z.k & ~65535L) & 65535L) = (z.k & 65535L)"
+    taken = f"transform(t.cells, z -> if({_inside('one.k', 'z', width)}, named_struct('c', z.c - one.c, 'k', z.k ^ one.k, 's', z.s, 'r', z.r), z))"
+    go_on = f"named_struct('cells', {taken}, 'found', array_append(t.found, named_struct('c', one.c, 'k', one.k)), 'go', true)"
+    step = _let(f"get(filter(t.cells, z -> {pure}), 0)", "one", f"if(one is null, named_struct('cells', t.cells, 'found', t.found, 'go', false), {go_on})")
     none = "cast(array() as array<struct<c: int, k: bigint>>)"
-    return f"aggregate(sequence(1, size({ours}) + size({theirs})), named_struct('cells', {minus}, 'found', {none}), (t, n) -> {step})"
+    return f"aggregate(sequence(1, size({ours}) + size({theirs})), named_struct('cells', {minus}, 'found', {none}, 'go', true), (t, n) -> if(t.go, {step}, t))"
 
 
 def bucket_difference(ours: str, theirs: str) -> str:
@@ -65,7 +66,9 @@ def bucket_difference(ours: str, theirs: str) -> str:
         failed = body or f"named_struct('found', t.found, 'open', cast(round(aggregate({stuck}, 0, (a, z) -> a + z.c * z.c) / 3) as int))"
         body = _let(peeled(ours, theirs, width), "t", f"if(size({stuck}) = 0, named_struct('found', t.found, 'open', 0), {failed})")
     none = "named_struct('found', cast(array() as array<struct<c: int, k: bigint>>), 'open', 0)"
-    return f"if({ours} = {theirs}, {none}, {body})"
+    alone = lambda side, sign: f"named_struct('found', transform({side}, d -> named_struct('c', {sign}, 'k', d)), 'open', 0)"
+    # Equal buckets subtract to nothing, and a bucket that one side lacks is the other side.
+    return f"if({ours} = {theirs}, {none}, if(size({theirs}) = 0, {alone(ours, 1)}, if(size({ours}) = 0, {alone(theirs, -1)}, {body})))"
 
 
 def difference(ours: str, theirs: str) -> str:
