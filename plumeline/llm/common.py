@@ -15,6 +15,8 @@ from plumeline.session import scratch_path
 
 #: Text that one step turns into numpy arrays at a time, in bytes; a longer text is a step of its own.
 STEP_BYTES = 12_000_000
+#: The same for the classifiers, which hold many numbers for each different word.
+SMALL_STEP = 3_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,23 +52,23 @@ def labelled_sample(df: DataFrame, label: str, key: str, per_label: int, seed: i
     )
 
 
-def steps(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of about STEP_BYTES of text, none of them empty."""
+def steps(batch: pa.RecordBatch, text: str = "text", bytes_: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about so many bytes of text, none of them empty."""
     if batch.num_rows == 0:
         return
     size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(size, dtype=np.int64) // STEP_BYTES
+    part = np.cumsum(size, dtype=np.int64) // bytes_
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):
         yield batch.slice(a, b - a)
 
 
-def by_steps(fn: Callable[[pa.RecordBatch], pa.RecordBatch], text: str = "text"):
+def by_steps(fn: Callable[[pa.RecordBatch], pa.RecordBatch], bytes_: int = STEP_BYTES, text: str = "text"):
     """The function mapInArrow wants, from one that maps a slice of bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch, text):
+            for part in steps(batch, text, bytes_):
                 yield fn(part)
 
     return run

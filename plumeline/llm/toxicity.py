@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumeline.llm.common import Words, by_steps, grams, labelled_sample, read_sparse, sparse_rows, spread_bag, weighted_bag
+from plumeline.llm.common import SMALL_STEP, Words, by_steps, grams, labelled_sample, read_sparse, sparse_rows, spread_bag, weighted_bag
 from plumeline.llm.langid import SIGNS
 
 #: Buckets of hashed byte n-grams of a word, and their sizes; embedding dimensions. A word repeated
@@ -117,7 +117,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, key: s
     source = docs.select(docs[key].alias("key"), docs[text].alias("text"))
     schema = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("buckets", T.BinaryType()), T.StructField("weights", T.BinaryType())])
     # The sample's expected size is fixed by per_label, so it fits in every executor.
-    rows = source.join(F.broadcast(sample), "key").select("label", "text").mapInArrow(by_steps(bags), schema).collect()
+    rows = source.join(F.broadcast(sample), "key").select("label", "text").mapInArrow(by_steps(bags, SMALL_STEP), schema).collect()
     rows.sort(key=lambda r: (r["label"], bytes(r["weights"]), bytes(r["buckets"])))
     prior = counts.get(1, 0) / max(sum(counts.values()), 1)
     return fit(np.array([r["label"] for r in rows], int), *read_sparse(rows), prior)
@@ -137,4 +137,4 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, key: str = "doc
 
     source = docs.select(docs[key].alias(key), docs[text].alias("text"))
     schema = T.StructType([source.schema[key], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return source.mapInArrow(by_steps(run), schema)
+    return source.mapInArrow(by_steps(run, SMALL_STEP), schema)
