@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from plumeline.llm.common import written
 
 #: Words of a block, rows of a shard (about), and the seed of the order in a shard.
-BLOCK, SHARD_ROWS, SEED = 64, 20_000, "mix"
+BLOCK, SHARD_ROWS, SEED = 64, 4_000, "mix"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
