@@ -18,7 +18,7 @@ from plumeline.llm.langid import SIGNS
 #: at once counts once.
 BUCKETS, SIZES, DIMS = 1 << 15, range(3, 7), 4
 #: Documents of each label to learn from (about; a hash draws them).
-PER_LABEL = 2000
+PER_LABEL = 1500
 #: Factor on a document's mean vector: one word among hundreds must be able to decide.
 GAIN = 100.0
 #: Words with the zero vector that every mean counts besides, so that a few odd words don't decide.
@@ -120,7 +120,9 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, key: s
     rows = source.join(F.broadcast(sample), "key").select("label", "text").mapInArrow(by_steps(bags, SMALL_STEP), schema).collect()
     rows.sort(key=lambda r: (r["label"], bytes(r["weights"]), bytes(r["buckets"])))
     prior = counts.get(1, 0) / max(sum(counts.values()), 1)
-    return fit(np.array([r["label"] for r in rows], int), *read_sparse(rows), prior)
+    known_labels, bag = np.array([r["label"] for r in rows], int), read_sparse(rows)
+    del rows
+    return fit(known_labels, *bag, prior)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3, key: str = "doc_id", text: str = "text") -> DataFrame:
