@@ -16,7 +16,9 @@ from plumeline.session import scratch_path
 #: Text that one step turns into numpy arrays at a time, in bytes; a longer text is a step of its own.
 STEP_BYTES = 12_000_000
 #: The same for the classifiers, which hold many numbers for each different word.
-SMALL_STEP = 3_000_000
+SMALL_STEP = 2_000_000
+#: The same where every document's n-grams are listed, to learn from.
+BAG_STEP = 400_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

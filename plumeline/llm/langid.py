@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from plumeline.llm.common import SMALL_STEP, Words, by_steps, grams, labelled_sample, read_sparse, sparse_rows, spread_bag, weighted_bag
+from plumeline.llm.common import BAG_STEP, SMALL_STEP, Words, by_steps, grams, labelled_sample, read_sparse, sparse_rows, spread_bag, weighted_bag
 
 #: Buckets of hashed byte n-grams, and their sizes.
 BUCKETS, SIZES = 1 << 13, range(1, 5)
@@ -156,7 +156,7 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, key: str = "doc_id"
     source = docs.select(docs[key].alias("key"), docs[lang].alias("lang"), docs[text].alias("text"))
     sample = labelled_sample(source.where("text is not null"), "lang", "key", per_language)
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("buckets", T.BinaryType()), T.StructField("weights", T.BinaryType())])
-    rows = [r for r in sample.select("key", "lang", "text").mapInArrow(by_steps(bags, SMALL_STEP), schema).collect() if len(r["buckets"])]
+    rows = [r for r in sample.select("key", "lang", "text").mapInArrow(by_steps(bags, BAG_STEP), schema).collect() if len(r["buckets"])]
     rows.sort(key=lambda r: (r["lang"], bytes(r["weights"])))
     return fit([r["lang"] for r in rows], *read_sparse(rows))
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumeline.llm.common import SMALL_STEP, Words, by_steps, grams, labelled_sample, read_sparse, run_sums, sparse_rows, spread_bag, weighted_bag
+from plumeline.llm.common import BAG_STEP, SMALL_STEP, Words, by_steps, grams, labelled_sample, read_sparse, run_sums, sparse_rows, spread_bag, weighted_bag
 
 #: Buckets of hashed byte n-grams, case and signs kept, and their sizes. One more bucket counts words
 #: that are the one before them; these add no n-grams.
@@ -112,7 +112,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, key: s
     source = docs.select(docs[key].alias("key"), docs[text].alias("text"))
     schema = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("buckets", T.BinaryType()), T.StructField("weights", T.BinaryType())])
     # The sample's expected size is fixed by per_label, so it fits in every executor.
-    rows = [r for r in source.join(F.broadcast(sample), "key").select("label", "text").mapInArrow(by_steps(bags, SMALL_STEP), schema).collect() if len(r["buckets"])]
+    rows = [r for r in source.join(F.broadcast(sample), "key").select("label", "text").mapInArrow(by_steps(bags, BAG_STEP), schema).collect() if len(r["buckets"])]
     rows.sort(key=lambda r: (r["label"], bytes(r["weights"]), bytes(r["buckets"])))
     return fit(np.array([r["label"] for r in rows], int), *read_sparse(rows))
 
