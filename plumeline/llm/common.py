@@ -144,6 +144,8 @@ def grams(words: pa.StringArray, sizes: range, buckets: int) -> tuple[np.ndarray
             inside = word[: len(rolling)] == word[n - 1 :]
             ids.append(word[: len(rolling)][inside])
             found.append(((rolling[inside] * np.uint64(0x9E3779B97F4A7C15)) >> shift).astype(np.int64))
+    if not ids:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(ids), np.concatenate(found)
 
 

@@ -23,6 +23,10 @@ PER_LABEL = 1500
 GAIN = 100.0
 #: Words with the zero vector that every mean counts besides, so that a few odd words don't decide.
 PAD = 16
+#: Documents of the sample that an n-gram must stand in to be learned.
+LEAST = 3
+#: Steps of learning at least, however small the sample.
+STEPS = 1200
 
 
 @dataclass
@@ -56,8 +60,12 @@ def fit(labels: np.ndarray, starts: np.ndarray, buckets: np.ndarray, weights: np
         model.out[:] = 0
         model.bias[1] = 0 if len(labels) == 0 else 10 * (2 * labels[0] - 1)
         return model
+    # Buckets that few documents have teach only noise; they keep the zero vector.
+    weights = np.where((np.bincount(buckets, minlength=BUCKETS) >= LEAST)[buckets], weights, 0).astype(np.float32)
+    model.vectors[np.bincount(buckets, minlength=BUCKETS) < LEAST] = 0
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in (model.vectors, model.out, model.bias)]
     step = 0
+    rounds = max(rounds, STEPS * batch // len(labels))
     for epoch in range(rounds):
         order = rng.permutation(len(labels))
         pace = rate * (1 - epoch / rounds)
