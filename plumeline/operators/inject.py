@@ -19,7 +19,6 @@ from plumeline.session import cut_lineage
 EDGE_MARGIN = 10
 MIN_SEPARATION = 15
 MAX_ATTEMPTS = 1000
-MAX_SOURCES = 10
 TRUTH_PPB = 20.0
 SRF_SIGMAS = 5.0
 FWHM_TO_SIGMA = 1.0 / (2.0 * math.sqrt(2.0 * math.log(2.0)))
@@ -64,20 +63,21 @@ def _place(patches: DataFrame, seed: int, margin: int, separation: float, attemp
     return patches.select("patch", F.posexplode(placed).alias("source", "p")).select("patch", "source", "p.row", "p.col")
 
 
-def resolve_wind(sources: DataFrame, wind: DataFrame, sun: DataFrame, bank: DataFrame, max_sources: int = MAX_SOURCES) -> DataFrame:
+def resolve_wind(sources: DataFrame, wind: DataFrame, sun: DataFrame, bank: DataFrame) -> DataFrame:
     """Wind at every source, its relative azimuth, and a different bank plume per source of a patch.
 
     ``sources`` has patch, source, row, col; ``wind`` patch, row, col, u, v; ``sun`` patch, sza, saa.
-    Every source brings its ``max_sources`` nearest bank rows; in source order each takes the first
-    that is still free, so a free one always exists.
+    Every source brings as many of its nearest bank rows as the fullest patch has sources; in source
+    order each takes the first that is still free. Null only where its node has fewer rows than that.
     """
+    most = sources.groupBy("patch").count().agg(F.max("count")).first()[0] or 1
     at = sources.join(wind, ["patch", "row", "col"]).join(sun, "patch")
     speed = F.hypot("u", "v")
     heading = F.pmod(F.degrees(F.atan2("v", "u")), F.lit(360.0))
     at = at.select("patch", "source", "row", "col", "sza", speed.alias("wind"), heading.alias("direction"),
                    relative_azimuth_math(F.col("saa"), heading).alias("raa"))
     q = at.withColumn("key", F.struct("patch", "source").cast("string")).select("key", "wind", "sza", "raa")
-    near = snap_to_grid_lookup(q, bank, "key", max_sources)
+    near = snap_to_grid_lookup(q, bank, "key", most)
     lists = near.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("rank", "id"))).alias("options"))
     ready = at.withColumn("key", F.struct("patch", "source").cast("string")).join(lists, "key")
     seq = F.array_sort(F.collect_list(F.struct("source", "options")))
@@ -88,7 +88,6 @@ def resolve_wind(sources: DataFrame, wind: DataFrame, sun: DataFrame, bank: Data
         free = F.filter(x["options"], lambda o: ~F.array_contains(s["ids"], o["id"]))
         return F.struct(F.concat(s["ids"], F.array(F.get(free, F.lit(0))["id"])).alias("ids"))
 
-    # A patch holds at most max_sources sources.
     chosen = ready.groupBy("patch").agg(F.array_sort(F.collect_list("source")).alias("_s"), F.aggregate(seq, state, pick)["ids"].alias("_i"))
     ids = chosen.select("patch", F.explode(F.arrays_zip("_s", "_i")).alias("z")).select("patch", F.col("z._s").alias("source"), F.col("z._i").alias("bank_id"))
     return at.join(ids, ["patch", "source"])

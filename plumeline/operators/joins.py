@@ -680,14 +680,13 @@ def key_date_lookup(df: DataFrame, table: DataFrame, ident: str, key: str, slots
 
 
 def slot_replacement(
-    slots: DataFrame, candidates: DataFrame, ident: str, bad: Column, order: Sequence[Column], max_slots: int = 3
+    slots: DataFrame, candidates: DataFrame, ident: str, bad: Column, order: Sequence[Column]
 ) -> DataFrame:
-    """Bad slots of a sample filled in slot order by its best ranked candidates."""
+    """Bad slots of a sample filled in slot order by its best ranked candidates, as many as it has."""
     ws = Window.partitionBy(ident).orderBy("slot")
     wc = Window.partitionBy(ident).orderBy(*order)
     need = slots.where(F.coalesce(bad, F.lit(False))).withColumn("_n", F.row_number().over(ws)).select(ident, "slot", "_n")
-    # No sample has more than max_slots slots, so deeper candidates are never used.
-    have = candidates.withColumn("_n", F.row_number().over(wc)).where(F.col("_n") <= max_slots)
+    have = candidates.withColumn("_n", F.row_number().over(wc))
     return need.join(have, [ident, "_n"]).drop("_n")
 
 

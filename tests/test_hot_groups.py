@@ -143,3 +143,10 @@ def test_split_fold_and_draw_keep_components_whole(spark):
     assert split.count() == 300
     shares = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
     assert 150 < shares["train"] < 270 and shares["val"] > 10 and shares["test"] > 10
+
+
+def test_every_bad_slot_is_filled(spark):
+    slots = spark.createDataFrame([(1, i) for i in range(5)], "id int, slot int")
+    found = spark.createDataFrame([(1, 100 + i) for i in range(10)], "id int, candidate int")
+    out = joins.slot_replacement(slots, found, "id", F.lit(True), [F.col("candidate")]).collect()
+    assert {r["slot"]: r["candidate"] for r in out} == {i: 100 + i for i in range(5)}
