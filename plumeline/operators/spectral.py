@@ -14,7 +14,7 @@ from plumeline.functions.angles import BAND_COUNT, FIRST_BAND_NM, LAST_BAND_NM
 from plumeline.operators import spread
 from plumeline.operators.ranks import finite
 from plumeline.operators.stats import partial_gram
-from plumeline.session import cut_lineage
+from plumeline.session import settled
 
 # Fixed values of the retrieval.
 RETRIEVAL_WINDOW_NM = (2122.0, 2488.0)
@@ -303,44 +303,45 @@ def _shrink(cov: np.ndarray, alpha: float) -> np.ndarray:
     return out
 
 
-def _direction(mean: np.ndarray, cov: np.ndarray, template: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray, float]:
-    """Target signature, whitened target and its norm for a background."""
-    target = template * mean
-    white = np.linalg.solve(_shrink(cov, alpha), target)
-    return target, white, max(float(target @ white), TINY)
+def _background(cov: np.ndarray, mean: np.ndarray, moments: tuple[np.ndarray, float, float], target: np.ndarray, template: np.ndarray, alpha: float):
+    """Mean, target, whitened target and its norm of the background that is left when each pixel
+    loses its signal times ``target``.
+
+    ``moments`` are the signal's mean products with the centred bands, its mean and its mean square:
+    all that the change of mean and covariance depends on.
+    """
+    shared, level, power = moments
+    swap = np.outer(shared, target)
+    left = cov - swap - swap.T + (power - level * level) * np.outer(target, target)
+    centre = mean - level * target
+    signature = template * centre
+    white = np.linalg.solve(_shrink(left, alpha), signature)
+    return centre, signature, white, max(float(signature @ white), TINY)
 
 
 def filter_column(x: np.ndarray, template: np.ndarray, config: FilterConfig) -> tuple[np.ndarray, np.ndarray, int, bool]:
-    """Enhancement and albedo of the pixels of one detector column, iterations run, converged."""
+    """Enhancement and albedo of the pixels of one detector column, iterations run, converged.
+
+    Pass 0 is the plain filter, without signal and prior; each later pass is the same step with the
+    signal that the one before it found.
+    """
     n = len(x)
     mean = x.mean(axis=0)
-    centred = x - mean
-    cov = centred.T @ centred / n
-    target, white, norm = _direction(mean, cov, template, config.alpha)
-    if config.method == "mf":
-        return np.maximum(centred @ white / norm, 0.0) * config.scaling, np.ones(n), 0, False
-    albedo = x @ mean / (mean @ mean)
-    score = np.maximum(centred @ white / (albedo * norm), 0.0)
-    if config.method == "rmf":
-        return score * config.scaling, albedo, 0, False
-    base_mean, runs, converged = mean, config.iterations, False
-    for step in range(config.iterations):
-        signal = config.removal * albedo * score
-        # Taking signal * target out of every pixel moves mean and covariance by a rank-two term.
-        level = signal.mean()
-        swing = signal - level
-        cross = centred.T @ swing / n
-        changed = cov - np.outer(cross, target) - np.outer(target, cross) + (swing @ swing / n) * np.outer(target, target)
-        mean = base_mean - level * target
-        target, white, norm = _direction(mean, changed, template, config.alpha)
-        weight = 1.0 / (albedo * (score + TINY))
-        last = score
-        score = np.maximum(((x - mean) @ white - weight) / (albedo * norm), 0.0)
-        tolerance = getattr(config, "tolerance", None)
-        if tolerance is not None and np.linalg.norm(score - last) / (np.linalg.norm(score) + TINY) < tolerance:
-            runs, converged = step + 1, True
-            break
-    return score * config.scaling, albedo, runs, converged
+    u = x - mean
+    cov = u.T @ u / n
+    albedo = np.ones(n) if config.method == "mf" else x @ mean / (mean @ mean)
+    passes = getattr(config, "iterations", 0)
+    tolerance = getattr(config, "tolerance", None)
+    score, target = np.zeros(n), np.zeros_like(mean)
+    for number in range(passes + 1):
+        signal = albedo * score * getattr(config, "removal", 1.0)
+        centre, target, white, norm = _background(cov, mean, (signal @ u / n, signal.mean(), signal @ signal / n), target, template, config.alpha)
+        prior = 1.0 / (albedo * (score + TINY)) if number else 0.0
+        found = np.maximum(((x - centre) @ white - prior) / (albedo * norm), 0.0)
+        moved, score = np.linalg.norm(found - score), found
+        if number and tolerance is not None and moved < tolerance * (np.linalg.norm(found) + TINY):
+            return score * config.scaling, albedo, number, True
+    return score * config.scaling, albedo, passes, False
 
 
 def fill_nodata_column_mean(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -403,47 +404,60 @@ def _large_columns(df: DataFrame, template: np.ndarray, config: FilterConfig) ->
     plain = config.method == "mf"
     albedo = F.lit(1.0) if plain else product("x", "m") / product("m", "m")
     x = x.withColumn("albedo", albedo).withColumn("score", F.lit(0.0))
-    rounds = config.iterations if isinstance(config, SparseConfig) else 0
+    passes, tolerance = getattr(config, "iterations", 0), getattr(config, "tolerance", None)
     alpha, t = config.alpha, np.asarray(template, dtype="float64")
-    removal = getattr(config, "removal", 1.0)
+    x = settled(x.withColumn("runs", F.lit(passes)).withColumn("done", F.lit(False)))
+    base = settled(base)
 
     def solve(batches):
         for pdf in batches:
             rows = []
             for _, r in pdf.iterrows():
                 p = len(t)
+                # The signal is the last of the summed columns; the bands are centred.
                 g = np.asarray(r["g"]).reshape(p + 1, p + 1) / r["n"]
-                mean, target = np.asarray(r["m"]), np.asarray(r["target"])
-                level = r["s"][p] / r["n"]
-                cross = g[:p, p] - np.asarray(r["s"][:p]) / r["n"] * level
-                spread_sq = g[p, p] - level * level
-                cov = g[:p, :p] - np.outer(cross, target) - np.outer(target, cross) + spread_sq * np.outer(target, target)
-                mean = mean - level * target
-                target, white, norm = _direction(mean, cov, t, alpha)
-                rows.append((*[r[k] for k in keys], mean, target, white, norm))
+                moments = g[:p, p], r["s"][p] / r["n"], g[p, p]
+                rows.append((*[r[k] for k in keys], *_background(g[:p, :p], np.asarray(r["m"]), moments, np.asarray(r["target"]), t, alpha)))
             yield pd.DataFrame(rows, columns=[*keys, "mu", "next", "white", "norm"])
 
     schema = kinds + ", mu array<double>, next array<double>, white array<double>, norm double"
     state = base.withColumn("target", F.transform("m", lambda v: F.lit(0.0) * v))
-    for step in range(rounds + 1):
-        signal = F.col("albedo") * F.col("score") * (removal if step else 0.0)
-        gram = partial_gram(x.select(*keys, F.concat("u", F.array(signal)).alias("z")), keys, "z")
-        fits = gram.join(state, keys).mapInPandas(solve, schema)
-        fits = cut_lineage(fits)
-        joined = x.join(fits, keys)
+    for number in range(passes + 1):
+        signal = F.col("albedo") * F.col("score") * getattr(config, "removal", 1.0)
+        gram = partial_gram(x.where("not done").select(*keys, F.concat("u", F.array(signal)).alias("z")), keys, "z")
+        fits = settled(gram.join(state, keys).mapInPandas(solve, schema))
         off = product(F.zip_with("x", "mu", lambda a, b: a - b), "white")
-        weight = 1.0 / (F.col("albedo") * (F.col("score") + TINY)) if step else F.lit(0.0)
-        score = F.greatest((off - weight) / (F.col("albedo") * F.col("norm")), F.lit(0.0))
-        x = cut_lineage(joined.withColumn("score", score).select(*x.columns)) if rounds else joined.withColumn("score", score).select(*x.columns)
+        prior = 1.0 / (F.col("albedo") * (F.col("score") + TINY)) if number else F.lit(0.0)
+        found = F.greatest((off - prior) / (F.col("albedo") * F.col("norm")), F.lit(0.0))
+        # Columns that are done have no fit and keep their score.
+        x = settled(
+            x.join(fits, keys, "left")
+            .withColumn("before", F.col("score"))
+            .withColumn("score", F.when(F.col("done"), F.col("score")).otherwise(found))
+            .select(*x.columns, "before")
+        )
         state = fits.select(*keys, F.col("next").alias("target")).join(base, keys)
+        if number and tolerance is not None:
+            square = lambda c: F.sqrt(F.sum(c * c))
+            still = square(F.col("score") - F.col("before")) < tolerance * (square(F.col("score")) + TINY)
+            stopped = x.where("not done").groupBy(*keys).agg(still.alias("stops")).where("stops")
+            x = settled(
+                x.join(stopped, keys, "left")
+                .withColumn("runs", F.when(F.col("stops"), number).otherwise(F.col("runs")))
+                .withColumn("done", F.col("done") | F.coalesce("stops", F.lit(False)))
+                .drop("stops")
+            )
+            if x.where("not done").isEmpty():
+                break
+        x = x.drop("before")
     masked = lambda c: F.when(F.col("ok"), c)
     return x.select(
         *keys,
         "row",
         masked(F.col("score") * config.scaling).alias("enhancement"),
         masked(F.col("albedo")).alias("albedo"),
-        F.lit(rounds).alias("iterations"),
-        F.lit(False).alias("converged"),
+        F.col("runs").alias("iterations"),
+        F.col("done").alias("converged"),
     )
 
 
@@ -454,7 +468,7 @@ def retrieve_scene(
 
     Pixels with fill in any band take their column's mean and come back as null. A detector column
     has as many pixels as the scene has rows; a column above the limit is filtered by distributed
-    sums with the same result (the tolerance of the fast recipe is then not used).
+    sums with the same result.
     """
     t = np.asarray(template, dtype="float64")
     keys = ["scene", "col"]

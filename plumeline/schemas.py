@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,90 +9,73 @@ from pyspark.sql import types as T
 D, L, S, B = T.DoubleType(), T.LongType(), T.StringType(), T.BooleanType()
 
 
-def level0_spec(a: str = "a", b: str = "b") -> dict[str, list[tuple[str, T.DataType, str]]]:
-    """Columns of the scene table by namespace; a and b name the two catalogues."""
-    return {
-        "detection": [
-            (f"n_{a}", L, "emitters of the first catalogue with a plume"),
-            (f"n_{b}", L, "sources of the second catalogue with a plume"),
-            (f"coverage_{a}", D, "percent of pixels under the first catalogue's masks"),
-            (f"coverage_{b}", D, "percent of pixels under the second catalogue's masks"),
-            ("coverage_union", D, "percent of pixels under either mask"),
-            (f"{a}_ids", S, "JSON list of emitters"),
-            (f"{b}_ids", S, "JSON list of sources"),
-            (f"{a}_flux", S, "JSON object emitter to flux in kg/h"),
-            (f"{b}_flux", S, "JSON object source to flux in kg/h"),
-            ("sectors", S, "JSON object sector to the plumes of each catalogue"),
-            ("sector_list", S, "JSON list of sectors"),
-            ("sector", S, "dominant sector"),
-            (f"n_{a}_weak", L, "plumes above 0 and under 1000 kg/h"),
-            (f"n_{a}_strong", L, "plumes from 1000 kg/h"),
-            (f"n_{b}_noflux", L, "sources without a flux"),
-            (f"n_{b}_dup_pairs", L, "overlapping pairs of different sources"),
-            (f"{b}_dup_groups", S, "JSON list of groups describing one plume"),
-            (f"{a}_flux_total", D, "summed flux"),
-            (f"{a}_flux_max", D, "largest flux"),
-            (f"{b}_flux_total", D, "summed flux"),
-            (f"{b}_flux_max", D, "largest flux"),
-            (f"{a}_cod", S, "JSON object emitter to mask codes"),
-            (f"{b}_cod", S, "JSON object source to mask codes"),
-        ],
-        "match": [
-            ("pairs", S, "JSON list of matched pairs"),
-            ("orphans", S, "JSON object of unmatched plumes"),
-            ("n_pairs", L, "accepted pairs"),
-            ("n_perfect", L, "pairs without overlap inside a catalogue"),
-            (f"n_orph_{a}", L, "unmatched plumes of the first catalogue"),
-            (f"n_orph_{b}", L, "unmatched plumes of the second catalogue"),
-        ],
-        "sensor": [
-            ("shape_rows", L, "rows"),
-            ("shape_cols", L, "columns"),
-            ("amf", D, "two-way air mass factor"),
-            ("phase", D, "angle between sun and view"),
-            ("path_length", D, "path to the ground in metres"),
-            ("earth_sun_distance", D, "astronomical units"),
-        ],
-        "target": [
-            ("sza", D, "solar zenith"),
-            ("vza", D, "view zenith"),
-            ("saa", D, "solar azimuth"),
-            ("vaa", D, "view azimuth"),
-            ("raa", D, "wind heading against solar azimuth"),
-        ],
-        "meteo": [
-            ("wind_u", D, "eastward wind"),
-            ("wind_v", D, "northward wind"),
-            ("wind_speed", D, "wind speed"),
-            (f"{a}_wind", S, "JSON object emitter to published wind"),
-            (f"{b}_wind", S, "JSON object source to published wind"),
-        ],
-        "emit": [
-            ("flight_line", S, "flight line"),
-            ("time_start", S, "start of the acquisition"),
-            ("time_end", S, "end of the acquisition"),
-        ],
-        "radiance": [
-            ("min", D, "smallest radiance"),
-            ("max", D, "largest radiance"),
-            ("elev_min_m", D, "lowest elevation"),
-            ("elev_max_m", D, "highest elevation"),
-        ],
-        "site": [("country", S, "country")],
-        "spatial": [
-            ("bbox_west", D, "west"),
-            ("bbox_south", D, "south"),
-            ("bbox_east", D, "east"),
-            ("bbox_north", D, "north"),
-            (f"{a}_points", S, "multipoint of emission points"),
-            (f"{b}_points", S, "multipoint of source points"),
-        ],
-        "selection": [
-            ("split", S, "train, val or test"),
-            ("is_free", B, "verified free of plumes"),
-            ("flux_bin", S, "has_weak, strong_only or free"),
-        ],
-    }
+# Columns of the scene table in their published order; {a} and {b} are the catalogues.
+LEVEL0_COLUMNS = [
+    ("id", S, "key of the scene"),
+    ("type", S, "leaf or folder"),
+    ("detection:n_{a}", L, "plumes of {a}"),
+    ("detection:n_{b}", L, "plumes of {b}"),
+    ("detection:coverage_{a}", D, "% of the scene masked by {a}"),
+    ("detection:coverage_{b}", D, "% of the scene masked by {b}"),
+    ("detection:coverage_union", D, "% of the scene masked by any"),
+    ("detection:{a}_ids", S, "ids in {a}, a JSON array"),
+    ("detection:{b}_ids", S, "ids in {b}, a JSON array"),
+    ("detection:{a}_flux", S, "kg/h by id in {a}, JSON"),
+    ("detection:{b}_flux", S, "kg/h by id in {b}, JSON"),
+    ("detection:sectors", S, "plumes by sector and catalogue, JSON"),
+    ("detection:sector_list", S, "sectors that occur, a JSON array"),
+    ("detection:sector", S, "most frequent sector"),
+    ("detection:n_{a}_weak", L, "plumes of {a} below 1 t/h"),
+    ("detection:n_{a}_strong", L, "plumes of {a} of 1 t/h and more"),
+    ("detection:n_{b}_noflux", L, "plumes of {b} with unknown flux"),
+    ("detection:n_{b}_dup_pairs", L, "pairs in {b} that overlap"),
+    ("detection:{b}_dup_groups", S, "groups in {b} that overlap, JSON"),
+    ("detection:{a}_flux_total", D, "kg/h, sum over {a}"),
+    ("detection:{a}_flux_max", D, "kg/h, maximum over {a}"),
+    ("detection:{b}_flux_total", D, "kg/h, sum over {b}"),
+    ("detection:{b}_flux_max", D, "kg/h, maximum over {b}"),
+    ("detection:{a}_cod", S, "codes in the mask by id in {a}, JSON"),
+    ("detection:{b}_cod", S, "codes in the mask by id in {b}, JSON"),
+    ("match:pairs", S, "ids of both catalogues that were paired, JSON"),
+    ("match:orphans", S, "ids left without a partner, JSON"),
+    ("match:n_pairs", L, "number of pairs"),
+    ("match:n_perfect", L, "number of pairs free of duplicates"),
+    ("match:n_orph_{a}", L, "number of {a} without a partner"),
+    ("match:n_orph_{b}", L, "number of {b} without a partner"),
+    ("sensor:shape_rows", L, "height in pixels"),
+    ("sensor:shape_cols", L, "width in pixels"),
+    ("target:sza", D, "sun, degrees from zenith"),
+    ("target:vza", D, "sensor, degrees from zenith"),
+    ("target:saa", D, "sun, degrees from north"),
+    ("target:vaa", D, "sensor, degrees from north"),
+    ("target:raa", D, "degrees between wind and sun"),
+    ("sensor:amf", D, "air mass down and up"),
+    ("sensor:phase", D, "degrees between sun and sensor"),
+    ("sensor:path_length", D, "metres from sensor to ground"),
+    ("sensor:earth_sun_distance", D, "in astronomical units"),
+    ("meteo:wind_u", D, "m/s to the east"),
+    ("meteo:wind_v", D, "m/s to the north"),
+    ("meteo:wind_speed", D, "m/s"),
+    ("meteo:{a}_wind", S, "wind by id as {a} states it, JSON"),
+    ("meteo:{b}_wind", S, "wind by id as {b} states it, JSON"),
+    ("emit:flight_line", S, "name of the overpass"),
+    ("emit:time_start", S, "first moment of the scene"),
+    ("emit:time_end", S, "last moment of the scene"),
+    ("radiance:min", D, "minimum over all bands"),
+    ("radiance:max", D, "maximum over all bands"),
+    ("radiance:elev_min_m", D, "metres, minimum of the ground"),
+    ("radiance:elev_max_m", D, "metres, maximum of the ground"),
+    ("site:country", S, "where most of the scene lies"),
+    ("spatial:bbox_west", D, "smallest longitude"),
+    ("spatial:bbox_south", D, "smallest latitude"),
+    ("spatial:bbox_east", D, "largest longitude"),
+    ("spatial:bbox_north", D, "largest latitude"),
+    ("spatial:{a}_points", S, "positions in {a}, well-known text"),
+    ("spatial:{b}_points", S, "positions in {b}, well-known text"),
+    ("selection:split", S, "part of the collection"),
+    ("selection:is_free", B, "checked to hold no plume"),
+    ("selection:flux_bin", S, "class of flux"),
+]
 
 
 # Decimals of the scene table's columns, by namespace and name.
@@ -116,16 +97,10 @@ def level0_digits(a: str = "a", b: str = "b") -> dict[str, int]:
     return {c.format(a=a, b=b): n for n, cols in LEVEL0_DIGITS.items() for c in cols}
 
 
-def to_struct(spec: Mapping[str, Sequence[tuple[str, T.DataType, str]]], lead: Sequence[tuple[str, T.DataType, str]] = ()) -> T.StructType:
-    """One StructType with ``namespace:column`` names; texts go into the field metadata."""
-    fields = [T.StructField(n, t, True, {"description": d}) for n, t, d in lead]
-    for space, columns in spec.items():
-        fields += [T.StructField(f"{space}:{n}", t, True, {"description": d}) for n, t, d in columns]
-    return T.StructType(fields)
-
-
 def level0_schema(a: str = "a", b: str = "b") -> T.StructType:
-    return to_struct(level0_spec(a, b), [("id", S, "scene"), ("type", S, "kind of entry")])
+    """The scene table for two catalogues; texts go into the field metadata."""
+    named = [(name.format(a=a, b=b), kind, text.format(a=a, b=b)) for name, kind, text in LEVEL0_COLUMNS]
+    return T.StructType([T.StructField(name, kind, True, {"description": text}) for name, kind, text in named])
 
 
 def canonical(df: DataFrame, schema: T.StructType, extras: bool = True) -> DataFrame:

@@ -49,3 +49,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: iterative operators call this once per round."""
     scratch_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Written to the scratch folder and read again, so that the sizes the optimizer sees are those of files."""
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

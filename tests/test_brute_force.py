@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from compare import rows_of, same_rows
+from plumeline import schemas
 from plumeline.functions import tails
 from plumeline.operators import bank, inject, joins, pixels, select, spectral, stats
 
@@ -319,3 +320,34 @@ def test_partition_invariance(spark):
     a = joins.self_overlap_pairs(df)
     b = joins.self_overlap_pairs(df.repartition(7).orderBy(F.rand(3)))
     same_rows(rows_of(a)[1], rows_of(b)[1])
+
+
+def test_splits_follow_the_greatest_need(spark):
+    rows = [(c, i, "ab"[(c + i) % 2], c % 3, (c + i) % 2) for c in range(12) for i in range(1 + c % 4)]
+    scenes = spark.createDataFrame([(c, *x) for c, *x in rows], "component int, i int, kind string, n_weak int, n_strong int")
+    shares = {"train": 0.6, "val": 0.2, "test": 0.2}
+    got = {r["component"]: r["split"] for r in select.assign_split_by_component(scenes, "component", ("kind",), shares).collect()}
+    facts = lambda some: {"size": len(some), "weak": sum(r[3] for r in some), "strong": sum(r[4] for r in some), **{k: sum(r[2] == k for r in some) for k in "ab"}}
+    total, placed = facts(rows), {s: [] for s in shares}
+    for c in sorted(range(12), key=lambda c: (-(1 + c % 4), c)):
+        own = [r for r in rows if r[0] == c]
+        f = facts(own)
+        value = {}
+        for s, share in shares.items():
+            have = facts(placed[s])
+            lack = {k: 1 - have[k] / (share * total[k]) for k in total}
+            value[s] = lack["size"] + sum(max(lack[k], 0) * f[k] / f["size"] for k in "ab") + sum(2 * max(lack[k], 0) for k in ("weak", "strong") if f[k])
+        top = max(value.values())
+        assert value[got[c]] > top - 1e-9
+        placed[got[c]] += own
+
+
+def test_order_of_the_scene_table():
+    names = schemas.level0_schema().names
+    assert len(names) == 64 and names[:3] == ["id", "type", "detection:n_a"]
+    assert names[33:42] == [
+        "target:sza", "target:vza", "target:saa", "target:vaa", "target:raa",
+        "sensor:amf", "sensor:phase", "sensor:path_length", "sensor:earth_sun_distance",
+    ]
+    assert names[-3:] == ["selection:split", "selection:is_free", "selection:flux_bin"]
+    assert set(schemas.level0_digits()) <= set(names)

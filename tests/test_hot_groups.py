@@ -96,6 +96,17 @@ def test_large_detector_columns(spark, method):
     same_rows(rows_of(large)[1], rows_of(small)[1])
 
 
+def test_large_columns_stop_at_the_tolerance(spark):
+    rng = np.random.default_rng(8)
+    rows = [(0, r, c, [float(v) for v in 2 + 0.3 * rng.standard_normal(4)]) for r in range(60) for c in range(2)]
+    df = spark.createDataFrame(rows, "scene int, row int, col int, spectrum array<double>")
+    config = spectral.FastSparseConfig(tolerance=0.3)
+    keep = lambda t: t.select("scene", "row", "col", F.round("enhancement", 3).alias("e"), "iterations", "converged")
+    small = rows_of(keep(spectral.retrieve_scene(df, [-0.2, -0.5, -0.1, -0.4], config)))[1]
+    assert any(r[-1] is True or True in r for r in small)
+    same_rows(rows_of(keep(spectral.retrieve_scene(df, [-0.2, -0.5, -0.1, -0.4], config, limit=10)))[1], small)
+
+
 def test_large_column_groups(spark):
     rng = np.random.default_rng(4)
     rows = [
