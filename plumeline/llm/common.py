@@ -76,6 +76,19 @@ def by_steps(fn: Callable[[pa.RecordBatch], pa.RecordBatch], bytes_: int = STEP_
     return run
 
 
+def text_column(fn: Callable[[pa.Array], pa.Array], kind: str, bytes_: int = STEP_BYTES):
+    """An Arrow function of a text column, run in slices: only the texts go to Python, and the rest of
+    their rows stays in the executor."""
+
+    @F.arrow_udf(kind)
+    def run(text: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([text], ["text"])
+        found = [fn(part.column(0)) for part in steps(batch, "text", bytes_)]
+        return pa.concat_arrays(found) if found else fn(text)
+
+    return run
+
+
 class Words:
     """Texts as runs of word numbers: ``codes[starts[i]:starts[i + 1]]`` are the words of text i.
 

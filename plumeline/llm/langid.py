@@ -7,10 +7,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
-from plumeline.llm.common import BAG_STEP, SMALL_STEP, Words, by_steps, grams, labelled_sample, read_sparse, sparse_rows, spread_bag, weighted_bag
+from plumeline.llm.common import BAG_STEP, SMALL_STEP, Words, by_steps, grams, labelled_sample, read_sparse, sparse_rows, spread_bag, text_column, weighted_bag
 
 #: Buckets of hashed byte n-grams, and their sizes.
 BUCKETS, SIZES = 1 << 13, range(1, 5)
@@ -175,3 +175,13 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     source = docs.select(docs[key].alias(key), docs[text].alias("text"))
     schema = T.StructType([source.schema[key], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return source.mapInArrow(by_steps(run, SMALL_STEP), schema)
+
+
+def language_of(text: Column, model: Model) -> Column:
+    """What ``identify`` finds as a struct column (lang_pred, score), for wide rows that stay where they are."""
+
+    def run(t: pa.Array) -> pa.Array:
+        names, score = score_texts(t, model)
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
+
+    return text_column(run, "lang_pred string, score double", SMALL_STEP)(text)

@@ -7,11 +7,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumeline.llm.common import BAG_STEP, SMALL_STEP, Words, by_steps, grams, labelled_sample, read_sparse, run_sums, sparse_rows, spread_bag, weighted_bag
+from plumeline.llm.common import BAG_STEP, SMALL_STEP, Words, by_steps, grams, labelled_sample, read_sparse, run_sums, sparse_rows, spread_bag, text_column, weighted_bag
 
 #: Buckets of hashed byte n-grams, case and signs kept, and their sizes. One more bucket counts words
 #: that are the one before them; these add no n-grams.
@@ -132,3 +132,8 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5, key: str = "doc
     source = docs.select(docs[key].alias(key), docs[text].alias("text"))
     schema = T.StructType([source.schema[key], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     return source.mapInArrow(by_steps(run, SMALL_STEP), schema)
+
+
+def score_of(text: Column, model: Model) -> Column:
+    """The score of ``score`` as a column, for wide rows that stay where they are."""
+    return text_column(lambda t: pa.array(vote(place(t, model.project), model)), "double", SMALL_STEP)(text)
