@@ -26,32 +26,42 @@ def _inside(digest: str, cell: str, width: int) -> str:
 def digests(text: str) -> str:
     """Paragraph digests of a text, sorted. The n-th copy of a paragraph has a digest of its own."""
     hashes = f"sort_array(transform(regexp_extract_all({text}, r'{PARAGRAPH}', 0), p -> xxhash64(p)))"
-    one = _let("xxhash64(x, i + 1 - array_position(s, x)) & ~65535L", "d", "d | (xxhash64(d) & 65535L)")
+    copy = "if(i > 0 and get(s, i - 1) = x, i + 1 - array_position(s, x), 0L)"
+    one = _let(f"xxhash64(x, {copy}) & ~65535L", "d", "d | (xxhash64(d) & 65535L)")
     return _let(hashes, "s", f"transform(s, (x, i) -> {one})")
 
 
-def cells(items: str, width: int) -> str:
-    """Three rows of cells: how many digests fall in each, and their exclusive or."""
-    rows = [
-        f"transform(sequence(0L, {width - 1}L), r -> aggregate({items}, named_struct('c', 0, 'k', 0L, 's', {PLACE + 7 * row}, 'r', r), "
-        f"(a, d) -> if((shiftright(d, {PLACE + 7 * row}) & {width - 1}L) = r, named_struct('c', a.c + 1, 'k', a.k ^ d, 's', a.s, 'r', a.r), a)))"
-        for row in range(3)
-    ]
-    return f"concat({', '.join(rows)})"
+def cells(ours: str, width: int, theirs: str | None = None) -> str:
+    """Three rows of cells: how many digests fall in each, and their exclusive or; less another side's."""
+
+    def row(shift: int) -> str:
+        falls = lambda side: f"filter({side}, d -> (shiftright(d, {shift}) & {width - 1}L) = r)"
+        folded = lambda side: f"aggregate({side}, 0L, (a, d) -> a ^ d)"
+        if theirs is None:
+            cell = _let(falls(ours), "x", f"named_struct('c', size(x), 'k', {folded('x')}, 's', {shift}, 'r', r)")
+        else:
+            minus = f"named_struct('c', size(both.x) - size(both.y), 'k', {folded('both.x')} ^ {folded('both.y')}, 's', {shift}, 'r', r)"
+            cell = _let(f"named_struct('x', {falls(ours)}, 'y', {falls(theirs)})", "both", minus)
+        return f"transform(sequence(0L, {width - 1}L), r -> {cell})"
+
+    return f"concat({', '.join(row(PLACE + 7 * n) for n in range(3))})"
 
 
 def peeled(ours: str, theirs: str, width: int) -> str:
     """The difference of two sketches taken apart: a cell with one digest left gives it away.
 
-    A struct of the cells that stay, and (sign, digest) of those found.
+    A round takes out all digests that some cell gives away. Returns a struct of the cells that stay,
+    and (sign, digest) of those found.
     """
-    minus = f"zip_with({cells(ours, width)}, {cells(theirs, width)}, (x, y) -> named_struct('c', x.c - y.c, 'k', x.k ^ y.k, 's', x.s, 'r', x.r))"
     pure = f"abs(z.c) = 1 and {_inside('z.k', 'z', width)} and (xxhash64(z.k & ~65535L) & 65535L) = (z.k & 65535L)"
-    taken = f"transform(t.cells, z -> if({_inside('one.k', 'z', width)}, named_struct('c', z.c - one.c, 'k', z.k ^ one.k, 's', z.s, 'r', z.r), z))"
-    go_on = f"named_struct('cells', {taken}, 'found', array_append(t.found, named_struct('c', one.c, 'k', one.k)), 'go', true)"
-    step = _let(f"get(filter(t.cells, z -> {pure}), 0)", "one", f"if(one is null, named_struct('cells', t.cells, 'found', t.found, 'go', false), {go_on})")
+    seen = f"array_distinct(transform(filter(t.cells, z -> {pure}), z -> named_struct('c', z.c, 'k', z.k)))"
+    less = "named_struct('c', z.c - o.c, 'k', z.k ^ o.k, 's', z.s, 'r', z.r)"
+    taken = f"transform(t.cells, y -> aggregate(seen, y, (z, o) -> if({_inside('o.k', 'z', width)}, {less}, z)))"
+    go_on = f"named_struct('cells', {taken}, 'found', concat(t.found, seen), 'go', true)"
+    step = _let(seen, "seen", f"if(size(seen) = 0, named_struct('cells', t.cells, 'found', t.found, 'go', false), {go_on})")
     none = "cast(array() as array<struct<c: int, k: bigint>>)"
-    return f"aggregate(sequence(1, size({ours}) + size({theirs})), named_struct('cells', {minus}, 'found', {none}, 'go', true), (t, n) -> if(t.go, {step}, t))"
+    start = f"named_struct('cells', {cells(ours, width, theirs)}, 'found', {none}, 'go', true)"
+    return f"aggregate(sequence(1, size({ours}) + size({theirs})), {start}, (t, n) -> if(t.go, {step}, t))"
 
 
 def bucket_difference(ours: str, theirs: str) -> str:
@@ -74,12 +84,14 @@ def bucket_difference(ours: str, theirs: str) -> str:
 def difference(ours: str, theirs: str) -> str:
     """Buckets' differences of two digest lists. Digests go to groups by some bits and from there to
     buckets, so the work is near the number of digests."""
-    bits = f"greatest(cast(ceil(log2((size({ours}) + size({theirs})) / {LOAD} + 1)) as int), 0)"
-    in_group = lambda side: f"filter({side}, d -> (shiftright(d, {BUCKET}) & (shiftleft(1, b div 2) - 1)) = g)"
-    in_bucket = lambda side: f"filter({side}, d -> (shiftright(shiftright(d, {BUCKET}), b div 2) & (shiftleft(1, b - b div 2) - 1)) = h)"
+    bits = f"least(greatest(cast(ceil(log2((size({ours}) + size({theirs})) / {LOAD} + 1)) as int), 0), 16)"
+    half = "cast(b div 2 as int)"
+    masks = f"named_struct('g', shiftleft(1L, {half}) - 1, 's', {BUCKET} + {half}, 'h', shiftleft(1L, b - {half}) - 1)"
+    in_group = lambda side: f"filter({side}, d -> (shiftright(d, {BUCKET}) & m.g) = g)"
+    in_bucket = lambda side: f"filter({side}, d -> (shiftright(d, m.s) & m.h) = h)"
     bucket = _let(f"named_struct('x', {in_bucket('q.x')}, 'y', {in_bucket('q.y')})", "w", bucket_difference("w.x", "w.y"))
-    group = _let(f"named_struct('x', {in_group(ours)}, 'y', {in_group(theirs)})", "q", f"transform(sequence(0, shiftleft(1, b - b div 2) - 1), h -> {bucket})")
-    return _let(f"least({bits}, 16)", "b", f"flatten(transform(sequence(0, shiftleft(1, b div 2) - 1), g -> {group}))")
+    group = _let(f"named_struct('x', {in_group(ours)}, 'y', {in_group(theirs)})", "q", f"transform(sequence(0L, m.h), h -> {bucket})")
+    return _let(bits, "b", _let(masks, "m", f"flatten(transform(sequence(0L, m.g), g -> {group}))"))
 
 
 def likeness(ours: str, theirs: str) -> str:
