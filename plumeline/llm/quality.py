@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumeline.llm.common import BAG_STEP, SMALL_STEP, Words, by_steps, grams, labelled_sample, read_sparse, run_sums, sparse_rows, spread_bag, text_column, weighted_bag
+from plumeline.llm.common import BAG_STEP, SMALL_STEP, Words, by_steps, grams, labelled_sample, ragged, read_sparse, sparse_rows, spread_bag, text_column, weighted_bag
 
 #: Buckets of hashed byte n-grams, case and signs kept, and their sizes. One more bucket counts words
 #: that are the one before them; these add no n-grams.
@@ -22,6 +22,8 @@ DIMS = 48
 PER_LABEL, NEIGHBOURS = 2000, 25
 #: Rows of one block of cosine products, and the power of a cosine that weighs a vote.
 BLOCK, SHARPNESS = 512, 8
+#: Documents and words whose n-grams are counted at a time.
+DOCS, RUN = 128, 100_000
 
 
 @dataclass
@@ -75,18 +77,31 @@ def vote(vectors: np.ndarray, model: Model, neighbours: int = NEIGHBOURS) -> np.
 
 
 def place(text: pa.Array, project: np.ndarray) -> np.ndarray:
-    """Latent vectors of length 1; a text without words has the zero vector."""
+    """Latent vectors of length 1; a text without words has the zero vector.
+
+    N-grams are counted per document and bucket, for some documents and some of their words at a
+    time, so neither many small texts nor a long one need much memory.
+    """
     words = Words(text)
     again = words.collapse()
     word, bucket = term_grams(words)
-    n = len(words.vocabulary)
     order = np.argsort(word, kind="stable")
-    starts = np.searchsorted(word[order], np.arange(n + 1))
-    held = np.concatenate([run_sums(project[:, a : a + 8][bucket[order]], starts) for a in range(0, project.shape[1], 8)], axis=1)
-    count = np.diff(starts)
-    sums = words.sums(np.concatenate([held, count[:, None]], axis=1).astype(np.float32))
-    total = np.maximum(sums[:, -1] + again, 1)
-    return unit((sums[:, :-1] + again[:, None] * project[-1]) / total[:, None])
+    bucket, held = bucket[order], np.bincount(word, minlength=len(words.vocabulary))
+    first, cells = np.cumsum(held) - held, len(project)
+    out = np.zeros((len(text), project.shape[1]), np.float32)
+    for a in range(0, len(text), DOCS):
+        starts = words.starts[a : a + DOCS + 1]
+        n = len(starts) - 1
+        counts = np.zeros(n * cells, np.float32)
+        for at in range(starts[0], starts[-1], RUN):
+            code = words.codes[at : min(at + RUN, starts[-1])]
+            doc = np.searchsorted(starts, np.arange(at, at + len(code)), side="right") - 1
+            cell = np.repeat(doc * cells, held[code]) + bucket[ragged(first[code], held[code])]
+            counts += np.bincount(cell, minlength=len(counts))
+        counts = counts.reshape(n, cells)
+        counts[:, -1] += again[a : a + n]
+        out[a : a + n] = (counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)) @ project
+    return unit(out)
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, key: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
