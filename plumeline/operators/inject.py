@@ -145,7 +145,7 @@ def local_metres(lon: Column, lat: Column, lon0: Column, lat0: Column) -> tuple[
 
 
 def footprint_average(
-    grid: DataFrame, shape: DataFrame, plumes: DataFrame, bank: DataFrame, n_sub: int = 4, pixel_m: float = 20.0, reach: int = 400
+    grid: DataFrame, shape: DataFrame, plumes: DataFrame, bank: DataFrame, n_sub: int = 4, pixel_m: float = 20.0
 ) -> DataFrame:
     """Bank maps averaged over the footprint of every sensor pixel they touch.
 
@@ -153,7 +153,7 @@ def footprint_average(
     east) and map, source_row, source_col of its bank map; ``bank`` has map, row, col, ppb. Each
     pixel is sampled at n_sub by n_sub places between its corners, turned into the map's frame, and
     interpolated between four map cells; places outside the map give zero. Negative means become 0.
-    Only pixels within ``reach`` map cells of the source take part; maps are smaller than that.
+    Only pixels whose footprint's box meets the map are sampled.
     """
     corners = pixel_corners(grid, shape)
     spots = F.array(*[F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a in (0, 1) for b in (0, 1)])
@@ -171,7 +171,8 @@ def footprint_average(
     ).where("_n = 4").drop("_n")
     origin = plumes.join(grid.select("scene", "row", "col", F.col("lon").alias("lon0"), F.col("lat").alias("lat0")), ["scene", "row", "col"])
     origin = origin.select("scene", "plume", "map", "source_row", "source_col", "lon0", "lat0", F.radians("direction").alias("turn"))
-    pairs = quad.join(origin, "scene")
+    size = bank.groupBy("map").agg(F.max("row").alias("_hr"), F.max("col").alias("_hc"))
+    pairs = quad.join(origin.join(size, "map"), "scene")
 
     def to_map(lon, lat):
         east, north = local_metres(lon, lat, F.col("lon0"), F.col("lat0"))
@@ -183,16 +184,15 @@ def footprint_average(
         for b in (0, 1):
             r, c = to_map(F.col(f"lon{a}{b}"), F.col(f"lat{a}{b}"))
             pairs = pairs.withColumn(f"r{a}{b}", r).withColumn(f"c{a}{b}", c)
-    pairs = pairs.where(
-        (F.abs(F.col("r00") - F.col("source_row")) <= reach) & (F.abs(F.col("c00") - F.col("source_col")) <= reach)
-    )
+    for n, last in (("r", "_hr"), ("c", "_hc")):
+        ends = [F.col(f"{n}{a}{b}") for a in (0, 1) for b in (0, 1)]
+        pairs = pairs.where((F.greatest(*ends) >= 0) & (F.least(*ends) <= F.col(last)))
     ticks = [(i + 0.5) / n_sub for i in range(n_sub)]
     blend = lambda n, s, t: (
         F.col(f"{n}00") * ((1 - s) * (1 - t)) + F.col(f"{n}01") * (s * (1 - t)) + F.col(f"{n}10") * ((1 - s) * t) + F.col(f"{n}11") * (s * t)
     )
     subs = F.array(*[F.struct(blend("r", s, t).alias("r"), blend("c", s, t).alias("c")) for t in ticks for s in ticks])
-    size = bank.groupBy("map").agg(F.max("row").alias("_hr"), F.max("col").alias("_hc"))
-    at = pairs.select("scene", "plume", "map", "row", "col", F.explode(subs).alias("p")).join(size, "map")
+    at = pairs.select("scene", "plume", "map", "row", "col", "_hr", "_hc", F.explode(subs).alias("p"))
     at = at.where((F.col("p.r") >= 0) & (F.col("p.r") <= F.col("_hr")) & (F.col("p.c") >= 0) & (F.col("p.c") <= F.col("_hc")))
     fr, fc = F.col("p.r") - F.floor("p.r"), F.col("p.c") - F.floor("p.c")
     cells = F.array(
@@ -243,16 +243,14 @@ def pixel_area(grid: DataFrame) -> DataFrame:
     return g.select("scene", "row", "col", area.alias("area_m2"))
 
 
-def inpaint_null(df: DataFrame, value: str, max_rounds: int = 50) -> DataFrame:
-    """Nulls replaced, round by round, by the mean of their valid neighbours."""
+def inpaint_null(df: DataFrame, value: str) -> DataFrame:
+    """Nulls replaced, round by round, by the mean of their valid neighbours, until no hole has one."""
     known = df.where(F.col(value).isNotNull()).select("scene", "row", "col", value)
     holes = cut_lineage(df.where(F.col(value).isNull()).select("scene", "row", "col"))
     around = F.array(
         *[F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a in (-1, 0, 1) for b in (-1, 0, 1) if (a, b) != (0, 0)]
     )
-    for _ in range(max_rounds):
-        if holes.isEmpty():
-            break
+    while not holes.isEmpty():
         asks = holes.select("scene", F.col("row").alias("r"), F.col("col").alias("c"), F.explode(around).alias("o")).select(
             "scene", "r", "c", (F.col("r") + F.col("o.dr")).alias("row"), (F.col("c") + F.col("o.dc")).alias("col")
         )

@@ -496,7 +496,10 @@ def knn_circular(queries: DataFrame, bank: DataFrame, ident: str, k: int) -> Dat
     nodes = bank.select("id", *[e.alias(f"{n}_lo") for n, e in unit.items()])
     nodes = nodes.select("*", *[F.col(f"{n}_lo").alias(f"{n}_hi") for n in axes])
     gap = F.sqrt(sum((F.pow(F.col(n) - F.col(f"{n}_lo"), 2) for n in axes), F.lit(0.0)))
-    near = nearest_in_cells(q, nodes, ident, "id", list(axes), gap, k, start=0.75, extent=16.0)
+    both = q.select(*axes).unionByName(nodes.select(*[F.col(f"{n}_lo").alias(n) for n in axes]))
+    spans = both.agg(*[(F.max(n) - F.min(n)).alias(n) for n in axes]).first()
+    extent = max([v for v in spans if v is not None], default=0.0)
+    near = nearest_in_cells(q, nodes, ident, "id", list(axes), gap, k, start=0.75, extent=max(extent, 1.0))
     b = bank.select("id", F.col("sza").alias("_s"), F.col("raa").alias("_r"), F.col("wind").alias("_w"))
     out = near.join(b, "id").join(queries, ident)
     angle = F.hypot(circular_diff(F.col("_r"), F.col("raa")), F.col("_s") - F.col("sza"))

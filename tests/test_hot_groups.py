@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from compare import rows_of, same_rows
-from plumeline.operators import joins, ranks, select, spectral, spread
+from plumeline.operators import inject, joins, ranks, select, spectral, spread
 
 
 @pytest.fixture(scope="module")
@@ -161,3 +161,16 @@ def test_every_bad_slot_is_filled(spark):
     found = spark.createDataFrame([(1, 100 + i) for i in range(10)], "id int, candidate int")
     out = joins.slot_replacement(slots, found, "id", F.lit(True), [F.col("candidate")]).collect()
     assert {r["slot"]: r["candidate"] for r in out} == {i: 100 + i for i in range(5)}
+
+
+def test_far_query_keeps_its_neighbours(spark):
+    bank = spark.createDataFrame([(i, 30.0 + i, 10.0 * i, 2.0 + i) for i in range(6)], "id int, sza double, raa double, wind double")
+    asked = spark.createDataFrame([(1, 31.0, 15.0, 500.0), (2, 33.0, 30.0, 3.0)], "q int, sza double, raa double, wind double")
+    found = joins.knn_circular(asked, bank, "q", 2).select("q", "id").collect()
+    assert {r["id"] for r in found if r["q"] == 1} == {4, 5}
+    assert len(found) == 4
+
+
+def test_deep_holes_are_filled(spark):
+    row = spark.range(53).selectExpr("'s' as scene", "0 as row", "cast(id as int) as col", "if(id = 0, 2D, null) as v")
+    assert inject.inpaint_null(row, "v").where("v = 2").count() == 53
