@@ -160,9 +160,13 @@ def assign_one_to_one(pairs: DataFrame, sizes: DataFrame, whole_limit: int = MAX
     """Minimum-cost one-to-one pairs per scene; pairs that do not overlap cost one.
 
     ``pairs`` has scene, plume_a, plume_b, cost for overlapping pairs; ``sizes`` has scene, n_a,
-    n_b. Instance codes allow at most 255 plumes per side, so a scene's matrix is small. A scene
-    with more is solved per connected component of its overlaps, which gives the same optimum
-    because every plume can then stay on a non-overlapping partner at cost one.
+    n_b. Every plume of the side with fewer gets a partner, so a pair dearer than one is chosen where
+    no cheaper partner is left; this holds at every size. Instance codes allow at most 255 plumes per
+    side, so a scene's matrix is small. A scene with more is solved per connected component of its
+    overlaps, where a plume may stay alone at cost one. That is the same optimum whenever the plumes
+    left alone can all be dealt partners they don't overlap, which is certain if the most overlaps on
+    either side add up to no more than what the larger side has left; any other scene is solved on its
+    whole matrix.
     """
     whole = (F.col("n_a") <= whole_limit) & (F.col("n_b") <= whole_limit)
     sized = pairs.join(sizes, "scene").withColumn("whole", whole)
@@ -179,7 +183,19 @@ def assign_one_to_one(pairs: DataFrame, sizes: DataFrame, whole_limit: int = MAX
     tagged = big.withColumn("node", node("a")).join(labels, "node")
     tagged = tagged.select("scene", "plume_a", "plume_b", "cost", "n_a", "n_b", "whole", "component")
     solved = tagged.groupBy("scene", "component").applyInPandas(lambda pdf: _solve_scene(pdf), schema)
-    return out.unionByName(solved)
+    solved = cut_lineage(solved)
+    rest = big
+    for side in ("a", "b"):
+        rest = rest.join(solved.select("scene", f"plume_{side}"), ["scene", f"plume_{side}"], "left_anti")
+    found = sizes.where(~whole).join(solved.groupBy("scene").agg(F.count(F.lit(1)).alias("_k")), "scene", "left")
+    for side in ("a", "b"):
+        most = rest.groupBy("scene", f"plume_{side}").agg(F.count(F.lit(1)).alias("_n"))
+        found = found.join(most.groupBy("scene").agg(F.max("_n").alias(f"_{side}")), "scene", "left")
+    left = F.greatest("n_a", "n_b") - F.coalesce("_k", F.lit(0))
+    tight = cut_lineage(found.where((F.col("_a") + F.col("_b")) > left).select("scene"))
+    again = big.join(tight, "scene", "left_semi").withColumn("whole", F.lit(True)).select(*small.columns)
+    again = again.groupBy("scene").applyInPandas(_solve_scene, schema)
+    return out.unionByName(solved.join(tight, "scene", "left_anti")).unionByName(again)
 
 
 def accept_match(inter_m2: Column, iou: Column, in_a: Column, in_b: Column, distance_m: Column) -> Column:
