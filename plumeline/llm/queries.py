@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumeline.llm import chat, langid, mixing, packing, quality, repair, simhash, topk, toxicity, versions
+from plumeline.llm import chat, langid, merkle, mixing, packing, quality, repair, simhash, topk, toxicity, versions
 from plumeline.llm.common import remainder, table
 from plumeline.session import scratch_path
 
@@ -102,3 +102,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.learn(docs, labels.where(~held_out(3, 1)))
     return quality.score(docs, model).select("doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
+
+
+@query("op13_merkle_manifest", merkle.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    claims = {"text": F.when(F.coalesce(remainder("doc_id", 3) == 0, F.lit(False)), tampered).otherwise(F.col("text"))}
+    found = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], claims=claims)
+    as_hex = lambda c: F.lower(F.hex(c)).alias(c)
+    return found.select(
+        "doc_id", as_hex("leaf"), as_hex("subroot"), as_hex("root"), F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256"), as_hex("folded_root"), "verified"
+    )
