@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumeline.llm import chat, langid, merkle, mixing, packing, quality, repair, simhash, topk, toxicity, versions
+from plumeline.llm import chat, counts, langid, merkle, mixing, packing, quality, repair, simhash, topk, toxicity, versions
 from plumeline.llm.common import remainder, table
 from plumeline.session import scratch_path
 
@@ -114,3 +114,8 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", as_hex("leaf"), as_hex("subroot"), as_hex("root"), F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256"), as_hex("folded_root"), "verified"
     )
+
+
+@query("op11_piece_counts")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.token_counts(table(spark, sf_dir, "documents"))
