@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumeline.llm import chat, counts, langid, merkle, mixing, packing, quality, repair, simhash, topk, toxicity, versions
+from plumeline.llm import chat, counts, langid, merkle, mixing, packing, quality, repair, simhash, topk, toxicity, trie, versions
 from plumeline.llm.common import remainder, table
 from plumeline.session import scratch_path
 
@@ -119,3 +119,8 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_piece_counts")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op12_conversation_trie", trie.SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.rebuilt(trie.numbered(table(spark, sf_dir, "conversations"))))
