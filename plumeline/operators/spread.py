@@ -1,13 +1,16 @@
-"""Order statistics that never put a whole hot group into one task.
+"""Order statistics that never put a whole hot group into one task, as plans without a job of their own.
 
 A group may hold a third of all rows. Window functions partitioned by such a key, and the exact
-``percentile`` aggregate, would gather it in one task. The functions here count rows per group
-first. While every group is small they use the plain Spark form. Groups above the limit are cut
-into value ranges at approximate quantiles, each range is ordered in its own task, and the exact
-totals of the earlier ranges are added back. The result is exact either way.
-
-The cut points travel through the driver: at most ``MAX_HOT`` groups can exceed the limit and the
-number of cut points is proportional to their share of the rows, so the table is bounded.
+``percentile`` aggregate, would gather it in one task. Here rows first become cells, one per key and
+value, with their counts and sums. Groups of few cells take the plain Spark form. The cells of larger
+groups are ordered digit by digit: a number's bits, in the order of the numbers, are three digits of 22,
+21 and 21 bits; totals per leading digits are tables of their own, and what lies before a cell is the
+sum of what lies before its first digit, before its second digit under the same first, and so on. A
+window then holds at most the values of one digit, four million, however large the group is. The result
+is exact either way.
+
+Everything is one lazy plan. Which groups are large is a table in it, broadcast because it has at most
+``MAX_HOT`` rows; where it turns out empty, adaptive execution drops the digits' branch unrun.
 """
 
 from __future__ import annotations
@@ -16,59 +19,73 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+#: Cells of a group that one task orders by itself.
 GROUP_LIMIT = 1_000_000
+#: Groups that can count as large: the limit is this share of all cells where that is more.
 MAX_HOT = 16_384
-MAX_CUTS = 4_096
-
-
-def _cut_table(df: DataFrame, keys: Sequence[str], value: str, limit: int) -> DataFrame | None:
-    """Cut points of the groups above the limit, or None when every group is small."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.agg(F.max("_n"), F.sum("_n")).first()
-    if top[0] is None or top[0] <= limit:
-        return None
-    limit = max(limit, top[1] // MAX_HOT)
-    probs = [i / MAX_CUTS for i in range(1, MAX_CUTS)]
-    hot = (
-        df.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.percentile_approx(F.col(value).cast("double"), probs, 10 * MAX_CUTS).alias("_q"),
-        )
-        .where(F.col("_n") > limit)
-        .withColumn("_k", F.least(F.lit(MAX_CUTS), F.ceil(F.col("_n") / limit) + 1).cast("int"))
-        .withColumn(
-            "_cuts",
-            F.expr(f"array_distinct(transform(sequence(1, _k - 1), i -> _q[cast(i * {MAX_CUTS} / _k as int) - 1]))"),
-        )
-        .select(*keys, "_cuts")
-    )
-    return df.sparkSession.createDataFrame(hot.collect(), hot.schema)
+#: Bits below the first and below the second digit.
+CUTS = (42, 21)
 
 
-def with_ranges(df: DataFrame, keys: Sequence[str], value: str, cuts: DataFrame) -> DataFrame:
-    """Add ``_range``, the number of cut points at or below the value (0 for small groups)."""
-    names = list(keys)
-    if not names:
-        # The whole table is one group: its single row of cut points rides along on a constant key.
-        names = ["_whole"]
-        df, cuts = df.withColumn("_whole", F.lit(0)), cuts.withColumn("_whole", F.lit(0))
-    named = cuts.select(*[F.col(k).alias(f"_c_{k}") for k in names], "_cuts")
+def on_keys(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Equality of two lists of columns, nulls equal to nulls."""
     on = F.lit(True)
-    for k in names:
-        on = on & F.col(k).eqNullSafe(F.col(f"_c_{k}"))
-    joined = df.join(F.broadcast(named), on, "left")
-    # Binary search: a dozen looks into the sorted cut points.
-    v = F.col(value).cast("double")
-    strides = F.array(*[F.lit(2**k) for k in range(MAX_CUTS.bit_length() - 1, -1, -1)])
-    below = F.aggregate(
-        strides,
-        F.lit(0),
-        lambda lo, s: F.when((lo + s <= F.size("_cuts")) & (F.get("_cuts", lo + s - 1) <= v), lo + s).otherwise(lo),
-    )
-    slot = F.coalesce(F.when(F.col("_cuts").isNotNull(), below), F.lit(0))
-    return joined.withColumn("_range", slot).drop("_cuts", "_whole", *[f"_c_{k}" for k in names])
+    for a, b in zip(left, right):
+        on = on & F.col(a).eqNullSafe(F.col(b))
+    return on
+
+
+def ordered_code(df: DataFrame, value: str) -> Column:
+    """A 64-bit code whose unsigned order is the order of the values; null first, as in a window."""
+    kind = df.schema[value].dataType
+    if isinstance(kind, T.DateType):
+        number = F.unix_date(value).cast("double")
+    elif isinstance(kind, (T.NumericType, T.BooleanType, T.TimestampType)):
+        number = F.col(value).cast("double")
+    else:
+        raise TypeError(f"{value} is {kind.simpleString()}: only numbers and times can be ordered here")
+    # Adding zero makes -0.0 the same as 0.0.
+    bits = F.call_function("java_method", F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.coalesce(number, F.lit(0.0)) + F.lit(0.0)).cast("bigint")
+    code = F.when(bits < 0, F.bitwise_not(bits)).otherwise(bits.bitwiseXOR(F.lit(-(1 << 63))))
+    return F.when(F.col(value).isNotNull(), code).otherwise(F.lit(0).cast("bigint"))
+
+
+def by_size(cells: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame]:
+    """Cells of the groups up to the limit, and of those above it."""
+    sizes = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cells"))
+    total = sizes.agg(F.sum("_cells").alias("_all")).select(F.lit(0).alias("_one"), "_all")
+    hot = sizes.withColumn("_one", F.lit(0)).join(F.broadcast(total), "_one")
+    hot = hot.where((F.col("_cells") > limit) & (F.col("_cells") > F.col("_all") / MAX_HOT))
+    hot = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
+    on = on_keys(keys, [f"_h_{k}" for k in keys])
+    return cells.join(hot, on, "left_anti"), cells.join(hot, on, "left_semi")
+
+
+def digit_totals(cells: DataFrame, keys: Sequence[str], value: str, names: Sequence[str]) -> DataFrame:
+    """Totals before each cell and of its group, from totals per leading digits."""
+    coded = cells.withColumn("_c", ordered_code(cells, value))
+    for i, cut in enumerate(CUTS):
+        coded = coded.withColumn(f"_p{i}", F.shiftrightunsigned("_c", cut))
+    levels = [coded]
+    for i in range(len(CUTS) - 1, -1, -1):
+        leading = [f"_p{j}" for j in range(i + 1)]
+        levels.insert(0, levels[0].groupBy(*keys, *leading).agg(*[F.sum(n).alias(n) for n in names]))
+    before = None
+    for i, level in enumerate(levels):
+        order = f"_p{i}" if i < len(CUTS) else value
+        group = [*keys, *([f"_p{i - 1}"] if i else [])]
+        whole = Window.partitionBy(*group)
+        earlier = whole.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        own = level.select("*", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_before") for n in names])
+        if before is None:
+            before = own.select("*", *[F.sum(n).over(whole).alias(f"{n}_total") for n in names])
+            continue
+        up = before.select(*[F.col(k).alias(f"_u_{k}") for k in group], *[F.col(f"{n}_before").alias(f"_b_{n}") for n in names], *[f"{n}_total" for n in names])
+        joined = own.join(up, on_keys(group, [f"_u_{k}" for k in group]))
+        before = joined.select(*level.columns, *[(F.col(f"{n}_before") + F.col(f"_b_{n}")).alias(f"{n}_before") for n in names], *[f"{n}_total" for n in names])
+    return before
 
 
 def ordered_totals(
@@ -81,50 +98,20 @@ def ordered_totals(
     """One row per (keys, value): each sum, its total before the value and its group total.
 
     ``sums`` maps a name to an aggregate, for example ``{"n": F.count("*")}``; the result has
-    ``n``, ``n_before`` and ``n_total``.
+    ``n``, ``n_before`` and ``n_total``. Nulls come first.
     """
-    cuts = _cut_table(df, keys, value, limit)
-    cells = df.groupBy(*keys, value).agg(*[e.alias(n) for n, e in sums.items()])
-    group = [F.col(k) for k in keys] or [F.lit(0)]
-    if cuts is None:
-        whole = Window.partitionBy(*group)
-        before = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-        return cells.select(
-            *keys,
-            value,
-            *sums,
-            *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in sums],
-            *[F.sum(n).over(whole).alias(f"{n}_total") for n in sums],
-        )
-    cells = with_ranges(cells, keys, value, cuts)
-    # One row per group and range: at most MAX_CUTS rows for any group.
+    names = list(sums)
+    group = list(keys) or ["_whole"]
+    rows = df if keys else df.withColumn("_whole", F.lit(0))
+    cells = rows.groupBy(*group, value).agg(*[e.alias(n) for n, e in sums.items()])
+    small, large = by_size(cells, group, limit)
     whole = Window.partitionBy(*group)
-    earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    per_range = cells.groupBy(*keys, "_range").agg(*[F.sum(n).alias(n) for n in sums])
-    offsets = per_range.select(
-        *[F.col(k).alias(f"_o_{k}") for k in keys],
-        F.col("_range").alias("_o_range"),
-        *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_e_{n}") for n in sums],
-        *[F.sum(n).over(whole).alias(f"{n}_total") for n in sums],
-    )
-    inside = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    local = cells.select(
-        *keys,
-        value,
-        "_range",
-        *sums,
-        *[F.coalesce(F.sum(n).over(inside), F.lit(0)).alias(f"_l_{n}") for n in sums],
-    )
-    on = F.col("_range") == F.col("_o_range")
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    return local.join(offsets, on).select(
-        *keys,
-        value,
-        *sums,
-        *[(F.col(f"_l_{n}") + F.col(f"_e_{n}")).alias(f"{n}_before") for n in sums],
-        *[f"{n}_total" for n in sums],
+    earlier = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    columns = [*keys, value, *names, *[f"{n}_before" for n in names], *[f"{n}_total" for n in names]]
+    plain = small.select(
+        "*", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_before") for n in names], *[F.sum(n).over(whole).alias(f"{n}_total") for n in names]
     )
+    return plain.select(*columns).unionByName(digit_totals(large, group, value, names).select(*columns))
 
 
 def percentiles(
@@ -135,95 +122,53 @@ def percentiles(
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Exact percentiles per group with linear interpolation; nulls and NaN are left out."""
-    clean = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v")
-    )
-    if _cut_table_small(clean, keys, limit):
-        names = list(probs)
-        out = clean.groupBy(*keys).agg(
-            F.percentile("_v", F.array(*[F.lit(float(probs[n])) for n in names])).alias("_p")
-        )
-        return out.select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
-    placed = ordered_totals(clean, keys, "_v", {"n": F.count(F.lit(1))}, limit)
+    names = list(probs)
+    group = list(keys) or ["_whole"]
+    rows = df if keys else df.withColumn("_whole", F.lit(0))
+    clean = rows.select(*group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    cells = clean.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("n"))
+    small, large = by_size(cells, group, limit)
+    marks = F.percentile("_v", F.array(*[F.lit(float(probs[n])) for n in names]), F.col("n"))
+    plain = small.groupBy(*group).agg(marks.alias("_p")).select(*group, *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
+    placed = digit_totals(large, group, "_v", ["n"])
     at = lambda pos: F.max(
         F.when((F.col("n_before") <= pos) & (pos < F.col("n_before") + F.col("n")), F.col("_v"))
     )
     picks = []
     for name, p in probs.items():
         pos = (F.col("n_total") - 1) * F.lit(float(p))
-        picks += [
-            at(F.floor(pos)).alias(f"_lo_{name}"),
-            at(F.ceil(pos)).alias(f"_hi_{name}"),
-            F.max(pos - F.floor(pos)).alias(f"_f_{name}"),
-        ]
-    out = placed.groupBy(*keys).agg(*picks)
-    return out.select(
-        *keys,
-        *[
-            (
-                F.col(f"_lo_{n}") * (1 - F.col(f"_f_{n}")) + F.col(f"_hi_{n}") * F.col(f"_f_{n}")
-            ).alias(n)
-            for n in probs
-        ],
-    )
+        picks += [at(F.floor(pos)).alias(f"_lo_{name}"), at(F.ceil(pos)).alias(f"_hi_{name}"), F.max(pos - F.floor(pos)).alias(f"_f_{name}")]
+    between = [(F.col(f"_lo_{n}") * (1 - F.col(f"_f_{n}")) + F.col(f"_hi_{n}") * F.col(f"_f_{n}")).alias(n) for n in names]
+    found = plain.unionByName(placed.groupBy(*group).agg(*picks).select(*group, *between))
+    if keys:
+        return found
+    # Without any value there is still one row, as of any aggregate over a whole table.
+    return found.agg(*[F.max(n).alias(n) for n in names])
 
 
-def _cut_table_small(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
-    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return top is None or top <= limit
+def _with_totals(df: DataFrame, keys: Sequence[str], value: str, limit: int) -> DataFrame:
+    """The rows with how many rows of their group lie before (``_before``) and at (``_at``) their value."""
+    totals = ordered_totals(df, keys, value, {"_at": F.count(F.lit(1))}, limit)
+    names = [*keys, value]
+    named = totals.select(*[F.col(k).alias(f"_r_{k}") for k in names], "_at", F.col("_at_before").alias("_before"))
+    return df.join(named, on_keys(names, [f"_r_{k}" for k in names])).drop(*[f"_r_{k}" for k in names])
 
 
 def average_ranks(
     df: DataFrame, keys: Sequence[str], value: str, out: str, limit: int = GROUP_LIMIT
 ) -> DataFrame:
     """The frame with the 1-based rank of ``value`` inside its group, ties averaged."""
-    cuts = _cut_table(df, keys, value, limit)
-    group = [F.col(k) for k in keys] or [F.lit(0)]
-    if cuts is None:
-        ordered = Window.partitionBy(*group).orderBy(value)
-        peers = Window.partitionBy(*group, F.col(value))
-        return df.withColumn(
-            out, F.rank().over(ordered) + (F.count(F.lit(1)).over(peers) - 1) / F.lit(2.0)
-        )
-    totals = ordered_totals(df, keys, value, {"_n": F.count(F.lit(1))}, limit).select(
-        *[F.col(k).alias(f"_r_{k}") for k in keys],
-        F.col(value).alias("_r_value"),
-        (F.col("_n_before") + (F.col("_n") + 1) / F.lit(2.0)).alias(out),
-    )
-    on = F.col(value) == F.col("_r_value")
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return df.join(totals, on).drop("_r_value", *[f"_r_{k}" for k in keys])
+    found = _with_totals(df, keys, value, limit)
+    return found.withColumn(out, F.col("_before") + (F.col("_at") + 1) / F.lit(2.0)).drop("_at", "_before")
 
 
 def row_positions(
-    df: DataFrame, value: str, tie: Sequence[str], out: str, limit: int = GROUP_LIMIT
+    df: DataFrame, value: str, tie: Sequence[str], out: str, limit: int = GROUP_LIMIT, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """0-based global position by (value, tie...) without a single-task sort."""
-    cuts = _cut_table(df, [], value, limit)
-    if cuts is None:
-        ordered = Window.partitionBy(F.lit(0)).orderBy(value, *tie)
-        return df.withColumn(out, F.row_number().over(ordered) - 1)
-    ranged = with_ranges(df, [], value, cuts)
-    earlier = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("_range")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            F.col("_range").alias("_o_range"),
-            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_e"),
-        )
-    )
-    local = ranged.withColumn(
-        "_l", F.row_number().over(Window.partitionBy("_range").orderBy(value, *tie)) - 1
-    )
-    return (
-        local.join(offsets, F.col("_range") == F.col("_o_range"))
-        .withColumn(out, F.col("_l") + F.col("_e"))
-        .drop("_range", "_o_range", "_l", "_e")
-    )
-
-
+    """0-based position by (value, tie...), in all or per group; the rows of one value are numbered in one task."""
+    found = _with_totals(df, keys, value, limit)
+    place = F.row_number().over(Window.partitionBy(*keys, value).orderBy(*tie))
+    return found.withColumn(out, F.col("_before") + place - 1).drop("_at", "_before")
 
 
 def summary(
@@ -234,22 +179,14 @@ def summary(
     probs: Mapping[str, float],
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
-    """Aggregates and exact percentiles of one column, in one pass while groups are small."""
-    if _cut_table_small(df, keys, limit):
-        names = list(probs)
-        v = F.col(value).cast("double")
-        marks = F.percentile(F.when(~F.isnan(v), v), F.array(*[F.lit(float(probs[n])) for n in names]))
-        out = df.groupBy(*keys).agg(*aggs, marks.alias("_p"))
-        return out.select("*", *[F.col("_p")[i].alias(n) for i, n in enumerate(names)]).drop("_p")
+    """Aggregates and exact percentiles of one column."""
     base = df.groupBy(*keys).agg(*aggs)
     marks = percentiles(df, keys, value, probs, limit)
     if not keys:
-        return base.withColumn("_one", F.lit(1)).join(marks.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+        one = F.lit(1).alias("_one")
+        return base.select("*", one).join(marks.select("*", one), "_one", "left").drop("_one")
     named = marks.select(*[F.col(k).alias(f"_m_{k}") for k in keys], *probs)
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_m_{k}"))
-    return base.join(named, on, "left").drop(*[f"_m_{k}" for k in keys])
+    return base.join(named, on_keys(keys, [f"_m_{k}" for k in keys]), "left").drop(*[f"_m_{k}" for k in keys])
 
 
 PART_ROWS = 100_000

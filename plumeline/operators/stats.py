@@ -26,22 +26,18 @@ def pearson(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
 
 
 def ks_two_sample(df: DataFrame, value: str, group: str) -> DataFrame:
-    """Largest distance between the distribution of each group and that of all rows."""
+    """Largest distance between the distribution of each group and that of all rows.
+
+    The distance peaks at a value of the group or right before one, so only a group's own values are
+    looked at, each beside the share of all rows before and up to it.
+    """
     rows = df.where(F.col(value).isNotNull()).select(F.col(group).alias("_g"), F.col(value).alias("_v"))
-    names = [r["_g"] for r in rows.select("_g").distinct().orderBy("_g").limit(257).collect()]
-    if len(names) > 256:
-        raise ValueError("too many groups for one comparison")
-    sums = {"all": F.count(F.lit(1)), **{f"g{i}": F.count_if(F.col("_g") == g) for i, g in enumerate(names)}}
-    placed = spread.ordered_totals(rows, [], "_v", sums)
-    share = lambda n: (F.col(f"{n}_before") + F.col(n)) / F.col(f"{n}_total")
-    stats = placed.agg(
-        *[F.max(F.abs(share(f"g{i}") - share("all"))).alias(f"d{i}") for i in range(len(names))],
-        *[F.max(f"g{i}_total").alias(f"n{i}") for i in range(len(names))],
-    )
-    items = [
-        F.struct(F.lit(g).alias(group), F.col(f"d{i}").alias("ks"), F.col(f"n{i}").alias("n")) for i, g in enumerate(names)
-    ]
-    return stats.select(F.explode(F.array(*items)).alias("r")).select("r.*")
+    count = {"n": F.count(F.lit(1))}
+    every = spread.ordered_totals(rows, [], "_v", count)
+    every = every.select(F.col("_v").alias("_a"), (F.col("n_before") / F.col("n_total")).alias("_before"), ((F.col("n_before") + F.col("n")) / F.col("n_total")).alias("_upto"))
+    own = spread.ordered_totals(rows, ["_g"], "_v", count).join(every, F.col("_v") == F.col("_a"))
+    gap = F.greatest(F.abs(F.col("n_before") / F.col("n_total") - F.col("_before")), F.abs((F.col("n_before") + F.col("n")) / F.col("n_total") - F.col("_upto")))
+    return own.groupBy(F.col("_g").alias(group)).agg(F.max(gap).alias("ks"), F.max("n_total").alias("n"))
 
 
 def mann_whitney(df: DataFrame, keys: Sequence[str], value: str, first: Column) -> DataFrame:
