@@ -13,9 +13,7 @@ DRAW = "CAST('0x' || substr(md5({}), 1, 8) AS BIGINT)"
 
 
 def _links(spark, d):
-    return fx.table(spark, d, "lineitem").where("l_quantity >= 48").select(
-        F.col("l_orderkey").alias("scene"), F.col("l_partkey").alias("source")
-    )
+    return fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("scene"), F.col("o_custkey").alias("source"))
 
 
 def _components(spark, d):
@@ -27,7 +25,7 @@ def _components(spark, d):
 
 @query(
     "connected_components",
-    """WITH RECURSIVE e AS (SELECT DISTINCT 'g:' || l_orderkey AS a, 's:' || l_partkey AS b FROM lineitem WHERE l_quantity >= 48),
+    """WITH RECURSIVE e AS (SELECT DISTINCT 'g:' || o_orderkey AS a, 's:' || o_custkey AS b FROM orders),
       u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
       r AS (SELECT DISTINCT a AS node, a AS seen FROM u UNION SELECT r.node, u.b FROM r JOIN u ON u.a = r.seen)
     SELECT node, min(seen) AS component FROM r GROUP BY node""",
@@ -67,8 +65,8 @@ def assign_split_by_component(spark, d):
 @query(
     "add_free_granules",
     """WITH s AS (SELECT c_custkey AS granule, CASE c_custkey % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'val' ELSE 'test' END AS split FROM customer WHERE c_acctbal > 0),
-      f AS (SELECT c_custkey AS granule, row_number() OVER (ORDER BY c_custkey) AS n FROM customer WHERE c_acctbal <= 0 AND c_custkey NOT IN (SELECT user_id FROM events) QUALIFY n <= 21)
-    SELECT granule, split, false AS is_free FROM s UNION ALL SELECT granule, CASE WHEN n <= 13 THEN 'train' WHEN n <= 17 THEN 'val' ELSE 'test' END, true FROM f""",
+      f AS (SELECT c_custkey AS granule, row_number() OVER (ORDER BY c_custkey) AS n FROM customer WHERE c_acctbal <= 0 AND c_custkey NOT IN (SELECT user_id FROM events))
+    SELECT granule, split, false AS is_free FROM s UNION ALL SELECT granule, CASE WHEN n <= 13 THEN 'train' WHEN n <= 17 THEN 'val' WHEN n <= 21 THEN 'test' END, true FROM f""",
 )
 def add_free_granules(spark, d):
     c = fx.table(spark, d, "customer").select(F.col("c_custkey").alias("granule"), "c_acctbal")
@@ -86,11 +84,11 @@ def assign_sites_6020(spark, d):
 
 @query(
     "leak_check",
-    """SELECT l_suppkey AS source, count(DISTINCT l_returnflag) AS splits FROM lineitem WHERE l_quantity > 49 AND l_discount < 0.03 GROUP BY 1 HAVING count(DISTINCT l_returnflag) > 1""",
+    """SELECT l_orderkey AS source, count(DISTINCT l_returnflag) AS splits FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) > 1""",
 )
 def leak_check(spark, d):
-    t = fx.table(spark, d, "lineitem").where("l_quantity > 49 and l_discount < 0.03")
-    return S.leak_check(t.select(F.col("l_suppkey").alias("source"), F.col("l_returnflag").alias("split")), "source", "split")
+    t = fx.table(spark, d, "lineitem")
+    return S.leak_check(t.select(F.col("l_orderkey").alias("source"), F.col("l_returnflag").alias("split")), "source", "split")
 
 
 @query(
@@ -118,14 +116,14 @@ def balanced_pixel_draw(spark, d):
     "cluster_bootstrap",
     f"""WITH {fx.SCORES}, dl AS (SELECT site, score - 7 - y * 0.2 AS delta FROM scores), su AS (SELECT site, sum(delta) AS s, count(*) AS k FROM dl GROUP BY 1),
       ix AS (SELECT row_number() OVER (ORDER BY {DRAW.format('site')}, site) - 1 AS i, s, k FROM su), n AS (SELECT count(*) AS n FROM su),
-      pk AS (SELECT b, {DRAW.format("b || '-' || x || '-3'")} % n AS i FROM n, range(200) t(b), range(1000) u(x) WHERE x < n),
+      pk AS (SELECT b, {DRAW.format("b || '-' || x || '-3'")} % n AS i FROM n, range(2000) t(b), range(1000) u(x) WHERE x < n),
       m AS (SELECT b, sum(s) / sum(k) AS m FROM pk JOIN ix USING (i) GROUP BY b)
     SELECT (SELECT round(sum(s) / sum(k), 6) FROM su) AS mean_delta, (SELECT sum(k) :: BIGINT FROM su) AS n_scenes, (SELECT n FROM n) AS n_sites,
       round(quantile_cont(m, 0.025), 6) AS ci_lo, round(quantile_cont(m, 0.975), 6) AS ci_hi, round(avg(CASE WHEN m > 0 THEN 1 ELSE 0 END), 6) AS share_positive FROM m""",
 )
 def cluster_bootstrap(spark, d):
     s = fx.scores(spark, d).select("site", (F.col("score") - 7 - F.col("y") * F.lit(0.2)).alias("delta"))
-    return rounded(S.cluster_bootstrap(s, "site", "delta", n_boot=200, seed=3))
+    return rounded(S.cluster_bootstrap(s, "site", "delta", seed=3))
 
 
 @query(

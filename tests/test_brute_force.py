@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from compare import rows_of, same_rows
 from plumeline import schemas
 from plumeline.functions import tails
+from plumeline.functions.draws import draw
 from plumeline.operators import bank, inject, joins, pixels, select, spectral, stats
 
 
@@ -329,8 +330,11 @@ def test_splits_follow_the_greatest_need(spark):
     got = {r["component"]: r["split"] for r in select.assign_split_by_component(scenes, "component", ("kind",), shares).collect()}
     facts = lambda some: {"size": len(some), "weak": sum(r[3] for r in some), "strong": sum(r[4] for r in some), **{k: sum(r[2] == k for r in some) for k in "ab"}}
     total, placed = facts(rows), {s: [] for s in shares}
-    for c in sorted(range(12), key=lambda c: (-(1 + c % 4), c)):
-        own = [r for r in rows if r[0] == c]
+    owned = {c: [r for r in rows if r[0] == c] for c in range(12)}
+    turn = {r["component"]: r["t"] for r in scenes.select("component", draw(F.col("component")).alias("t")).distinct().collect()}
+    order = lambda f: (-f["size"], f["weak"], f["strong"], [(k, f[k]) for k in "ab" if f[k]])
+    for c in sorted(range(12), key=lambda c: (order(facts(owned[c])), turn[c])):
+        own = owned[c]
         f = facts(own)
         value = {}
         for s, share in shares.items():

@@ -146,16 +146,6 @@ def test_components_of_a_hub_and_a_chain(spark):
     assert {got[f"c{i:03d}"] for i in range(61)} == {"c000"}
 
 
-def test_split_fold_and_draw_keep_components_whole(spark):
-    rng = random.Random(2)
-    rows = [(i, i // 3, rng.choice("ab"), 2020 + i % 4, rng.choice("xy"), rng.choice("pq"), i % 2, i % 3) for i in range(900)]
-    df = spark.createDataFrame(rows, "scene int, component int, flux_bin string, year int, region string, sector string, n_weak int, n_strong int")
-    split = select.assign_split_by_component(df, "component", max_fold=40)
-    assert split.count() == 300
-    shares = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
-    assert 150 < shares["train"] < 270 and shares["val"] > 10 and shares["test"] > 10
-
-
 def test_every_bad_slot_is_filled(spark):
     slots = spark.createDataFrame([(1, i) for i in range(5)], "id int, slot int")
     found = spark.createDataFrame([(1, 100 + i) for i in range(10)], "id int, candidate int")
