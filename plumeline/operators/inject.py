@@ -19,6 +19,8 @@ from plumeline.session import cut_lineage
 EDGE_MARGIN = 10
 MIN_SEPARATION = 15
 MAX_ATTEMPTS = 1000
+#: Tries per source in the first batch; each later batch has twice as many.
+FIRST_TRIES = 4
 TRUTH_PPB = 20.0
 SRF_SIGMAS = 5.0
 FWHM_TO_SIGMA = 1.0 / (2.0 * math.sqrt(2.0 * math.log(2.0)))
@@ -37,30 +39,58 @@ def place_sources(
 
     Candidates come from a seeded digest and are taken in order while they keep the distance, so a
     patch may end with fewer sources than asked. At most ``n * attempts`` are tried.
-    """
-    inside = patches.where((F.col("height") > 2 * margin) & (F.col("width") > 2 * margin))
-    # A short list of tries per source covers all but crowded patches; those go through every try.
-    first = _place(inside, seed, margin, separation, 20)
-    short = first.groupBy("patch").agg(F.count(F.lit(1)).alias("_k"))
-    full = inside.join(short, "patch", "left").where(F.coalesce("_k", F.lit(0)) < F.col("n")).drop("_k")
-    crowded = _place(full, seed, margin, separation, attempts)
-    return first.join(full.select("patch"), "patch", "left_anti").unionByName(crowded)
-
 
-def _place(patches: DataFrame, seed: int, margin: int, separation: float, attempts: int) -> DataFrame:
+    A candidate's fate hangs on earlier ones nearby only, so all places are decided at once: of the
+    candidates still open, those without an earlier open one in reach are taken, what lies in their
+    reach is dropped, and so on. Tries come in growing batches, each first held against the sources a
+    patch already has, until every patch has its number. Neighbours meet in grid cells as wide as the
+    separation; a crowded patch is never gathered.
+    """
+    inside = patches.where((F.col("height") > 2 * margin) & (F.col("width") > 2 * margin)).select("patch", "height", "width", "n")
     span = lambda size: (F.col(size) - 2 * margin).cast("bigint")
-
-    def try_one(state, i):
-        r = (F.pmod(draw(F.col("patch"), i, "r", seed), span("height")) + margin).cast("int")
-        c = (F.pmod(draw(F.col("patch"), i, "c", seed), span("width")) + margin).cast("int")
-        clear = F.forall(state, lambda p: F.hypot(p["row"] - r, p["col"] - c) >= separation)
-        fits = (F.size(state) < F.col("n")) & clear
-        return F.when(fits, F.concat(state, F.array(F.struct(r.alias("row"), c.alias("col"))))).otherwise(state)
-
-    empty = F.array().cast("array<struct<row:int,col:int>>")
-    tries = F.sequence(F.lit(1), F.col("n") * attempts)
-    placed = F.aggregate(tries, empty, try_one)
-    return patches.select("patch", F.posexplode(placed).alias("source", "p")).select("patch", "source", "p.row", "p.col")
+    place = lambda axis, size: (F.pmod(draw(F.col("patch"), F.col("i"), axis, seed), span(size)) + margin).cast("int")
+    wanting, taken, done, step = inside.where("n > 0"), None, 0, FIRST_TRIES
+    while done < attempts:
+        last = min(done + step, attempts)
+        tries = wanting.withColumn("i", F.explode(F.sequence(F.col("n").cast("bigint") * done + 1, F.col("n").cast("bigint") * last)))
+        tries = tries.select("patch", "i", place("r", "height").alias("row"), place("c", "width").alias("col"))
+        if taken is not None:
+            tries = _clear_of(tries, taken, separation)
+        found = _first_apart(tries, separation)
+        taken = found if taken is None else cut_lineage(taken.unionByName(found))
+        full = taken.groupBy("patch").agg(F.count(F.lit(1)).alias("_k"))
+        wanting = cut_lineage(inside.join(full, "patch", "left").where(F.coalesce("_k", F.lit(0)) < F.col("n")).drop("_k"))
+        if wanting.isEmpty():
+            break
+        done, step = last, 2 * step
+    if taken is None:
+        return inside.select("patch", F.lit(0).alias("source"), F.lit(0).alias("row"), F.lit(0).alias("col")).where("false")
+    order = F.row_number().over(Window.partitionBy("patch").orderBy("i")) - 1
+    ranked = taken.withColumn("source", order).join(inside.select("patch", "n"), "patch")
+    return ranked.where(F.col("source") < F.col("n")).select("patch", "source", "row", "col")
+
+
+def _clear_of(points: DataFrame, others: DataFrame, separation: float, earlier: bool = False) -> DataFrame:
+    """The points without another of ``others`` in reach; with ``earlier``, of those tried before them."""
+    size = math.ceil(separation)
+    cell = lambda c: F.floor(F.col(c) / size)
+    steps = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
+    near = others.select(F.col("patch").alias("_patch"), F.col("i").alias("_i"), F.col("row").alias("_row"), F.col("col").alias("_col"), F.explode(steps).alias("_s"))
+    near = near.select("_patch", "_i", "_row", "_col", (cell("_row") + F.col("_s.a")).alias("_cr"), (cell("_col") + F.col("_s.b")).alias("_cc"))
+    here = points.withColumn("_r", cell("row")).withColumn("_c", cell("col"))
+    meet = (F.col("patch") == F.col("_patch")) & (F.col("_r") == F.col("_cr")) & (F.col("_c") == F.col("_cc"))
+    close = F.hypot(F.col("row") - F.col("_row"), F.col("col") - F.col("_col")) < separation
+    return here.join(near, meet & close & ((F.col("_i") < F.col("i")) if earlier else F.lit(True)), "left_anti").drop("_r", "_c")
+
+
+def _first_apart(points: DataFrame, separation: float) -> DataFrame:
+    """What a walk in the order of ``i`` would take: each point that keeps the distance to all taken before it."""
+    taken, left = None, cut_lineage(points)
+    while not left.isEmpty():
+        first = cut_lineage(_clear_of(left, left, separation, earlier=True))
+        taken = first if taken is None else taken.unionByName(first)
+        left = cut_lineage(_clear_of(left, first, separation))
+    return taken if taken is not None else left
 
 
 def resolve_wind(sources: DataFrame, wind: DataFrame, sun: DataFrame, bank: DataFrame) -> DataFrame:

@@ -24,12 +24,12 @@ def patches(spark, d):
 
 @query("place_sources")
 def place_sources(spark, d):
-    return I.place_sources(patches(spark, d), seed=2, attempts=60)
+    return I.place_sources(patches(spark, d), seed=2)
 
 
 @query("resolve_wind")
 def resolve_wind(spark, d):
-    s = I.place_sources(patches(spark, d), seed=2, attempts=60)
+    s = I.place_sources(patches(spark, d), seed=2)
     e = fx.table(spark, d, "events").groupBy((F.col("user_id") % 100).alias("patch")).agg(
         (F.avg("value") / 10).alias("u"), (F.avg(F.col("value") * (F.col("event_id") % 2)) / 10).alias("v")
     )
