@@ -1,16 +1,16 @@
 """Order statistics that never put a whole hot group into one task, as plans without a job of their own.
 
 A group may hold a third of all rows. Window functions partitioned by such a key, and the exact
-``percentile`` aggregate, would gather it in one task. Here rows first become cells, one per key and
-value, with their counts and sums. Groups of few cells take the plain Spark form. The cells of larger
-groups are ordered digit by digit: a number's bits, in the order of the numbers, are three digits of 22,
-21 and 21 bits; totals per leading digits are tables of their own, and what lies before a cell is the
-sum of what lies before its first digit, before its second digit under the same first, and so on. A
-window then holds at most the values of one digit, four million, however large the group is. The result
-is exact either way.
-
-Everything is one lazy plan. Which groups are large is a table in it, broadcast because it has at most
-``MAX_HOT`` rows; where it turns out empty, adaptive execution drops the digits' branch unrun.
+``percentile`` aggregate, would gather it in one task. Groups up to a limit take these plain Spark forms.
+Larger ones become cells, one per key and value, that are ordered digit by digit: a number's bits, in
+the order of the numbers, are three digits of 22, 21 and 21 bits. Totals per leading digits are rows
+beside the cells, and what lies before a cell is what lies before its first digit, before its second
+digit under the same first, and before the cell under the same two. A window then holds at most the
+values of one digit, four million, however large the group is. The result is exact either way.
+
+Everything is one lazy plan. Which groups are large is a table in it, with one row per ``limit`` rows of
+input at most, and therefore broadcast; where it turns out empty, adaptive execution drops the digits'
+branch unrun.
 """
 
 from __future__ import annotations
@@ -21,71 +21,70 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Cells of a group that one task orders by itself.
+#: Rows or cells of a group that one task orders by itself.
 GROUP_LIMIT = 1_000_000
-#: Groups that can count as large: the limit is this share of all cells where that is more.
-MAX_HOT = 16_384
 #: Bits below the first and below the second digit.
 CUTS = (42, 21)
 
 
+def q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def on_keys(left: Sequence[str], right: Sequence[str]) -> Column:
     """Equality of two lists of columns, nulls equal to nulls."""
-    on = F.lit(True)
-    for a, b in zip(left, right):
-        on = on & F.col(a).eqNullSafe(F.col(b))
-    return on
+    return F.expr(" and ".join(f"{q(a)} <=> {q(b)}" for a, b in zip(left, right)) or "true")
 
 
-def ordered_code(df: DataFrame, value: str) -> Column:
-    """A 64-bit code whose unsigned order is the order of the values; null first, as in a window."""
-    kind = df.schema[value].dataType
+def ordered_code(kind: T.DataType, value: str) -> str:
+    """SQL of a 64-bit code whose unsigned order is the order of the values; null first, as in a window."""
     if isinstance(kind, T.DateType):
-        number = F.unix_date(value).cast("double")
+        number = f"cast(unix_date({q(value)}) as double)"
     elif isinstance(kind, (T.NumericType, T.BooleanType, T.TimestampType)):
-        number = F.col(value).cast("double")
+        number = f"cast({q(value)} as double)"
     else:
         raise TypeError(f"{value} is {kind.simpleString()}: only numbers and times can be ordered here")
-    # Adding zero makes -0.0 the same as 0.0.
-    bits = F.call_function("java_method", F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.coalesce(number, F.lit(0.0)) + F.lit(0.0)).cast("bigint")
-    code = F.when(bits < 0, F.bitwise_not(bits)).otherwise(bits.bitwiseXOR(F.lit(-(1 << 63))))
-    return F.when(F.col(value).isNotNull(), code).otherwise(F.lit(0).cast("bigint"))
-
-
-def by_size(cells: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame]:
-    """Cells of the groups up to the limit, and of those above it."""
-    sizes = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cells"))
-    total = sizes.agg(F.sum("_cells").alias("_all")).select(F.lit(0).alias("_one"), "_all")
-    hot = sizes.withColumn("_one", F.lit(0)).join(F.broadcast(total), "_one")
-    hot = hot.where((F.col("_cells") > limit) & (F.col("_cells") > F.col("_all") / MAX_HOT))
-    hot = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
+    # Adding zero makes -0.0 the same as 0.0. The top bit of a negative number is set: all its bits turn.
+    bits = f"cast(java_method('java.lang.Double', 'doubleToLongBits', coalesce({number}, 0D) + 0D) as bigint)"
+    return f"if({q(value)} is null, 0L, {bits} ^ (shiftright({bits}, 63) | {-(1 << 63) + 1}L - 1L))"
+
+
+def by_size(rows: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of the groups with up to so many rows, and of those with more."""
+    sizes = rows.groupBy(*keys).agg(F.expr("count(1) as _n")).where(f"_n > {limit}")
+    hot = F.broadcast(sizes.selectExpr(*[f"{q(k)} as {q('_h_' + k)}" for k in keys]))
     on = on_keys(keys, [f"_h_{k}" for k in keys])
-    return cells.join(hot, on, "left_anti"), cells.join(hot, on, "left_semi")
+    return rows.join(hot, on, "left_anti"), rows.join(hot, on, "left_semi")
 
 
-def digit_totals(cells: DataFrame, keys: Sequence[str], value: str, names: Sequence[str]) -> DataFrame:
+def digit_totals(cells: DataFrame, kind: T.DataType, keys: Sequence[str], value: str, names: Sequence[str]) -> DataFrame:
     """Totals before each cell and of its group, from totals per leading digits."""
-    coded = cells.withColumn("_c", ordered_code(cells, value))
-    for i, cut in enumerate(CUTS):
-        coded = coded.withColumn(f"_p{i}", F.shiftrightunsigned("_c", cut))
-    levels = [coded]
-    for i in range(len(CUTS) - 1, -1, -1):
-        leading = [f"_p{j}" for j in range(i + 1)]
-        levels.insert(0, levels[0].groupBy(*keys, *leading).agg(*[F.sum(n).alias(n) for n in names]))
-    before = None
-    for i, level in enumerate(levels):
-        order = f"_p{i}" if i < len(CUTS) else value
-        group = [*keys, *([f"_p{i - 1}"] if i else [])]
-        whole = Window.partitionBy(*group)
-        earlier = whole.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        own = level.select("*", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_before") for n in names])
-        if before is None:
-            before = own.select("*", *[F.sum(n).over(whole).alias(f"{n}_total") for n in names])
-            continue
-        up = before.select(*[F.col(k).alias(f"_u_{k}") for k in group], *[F.col(f"{n}_before").alias(f"_b_{n}") for n in names], *[f"{n}_total" for n in names])
-        joined = own.join(up, on_keys(group, [f"_u_{k}" for k in group]))
-        before = joined.select(*level.columns, *[(F.col(f"{n}_before") + F.col(f"_b_{n}")).alias(f"{n}_before") for n in names], *[f"{n}_total" for n in names])
-    return before
+    v, same = q(value), [q(k) for k in keys]
+    sums = [q(n) for n in names]
+    digits = [f"shiftrightunsigned(_c, {cut})" for cut in CUTS]
+    each = ", ".join(
+        f"named_struct('i', {i}, 'a', {digits[0]}, 'b', {digits[1] if i > 1 else 'cast(null as bigint)'}, 'v', {v if i > 2 else f'cast(null as {kind.simpleString()})'})" for i in (1, 2, 3)
+    )
+    rows = cells.selectExpr("*", f"{ordered_code(kind, value)} as _c").selectExpr(*same, *sums, f"inline(array({each})) as (_i, _a, _b, {v})")
+    rows = rows.groupBy(*keys, "_i", "_a", "_b", value).agg(*[F.expr(f"sum({n}) as {n}") for n in sums])
+    # Level by level: the totals of the level above open each window with what lies before all of it.
+    before, total = [q(f"_b_{n}") for n in names], [q(f"_t_{n}") for n in names]
+    ahead = "rows between unbounded preceding and 1 preceding"
+    top = f"partition by {', '.join([*same, 'if(_i > 1, _a, null)', 'if(_i > 1, _b, null)', '_i'])}"
+    rows = rows.selectExpr(
+        "*", *[f"if(_i = 1, coalesce(sum({n}) over ({top} order by _a {ahead}), 0), null) as {b}" for n, b in zip(sums, before)], *[f"if(_i = 1, sum({n}) over ({top}), null) as {t}" for n, t in zip(sums, total)]
+    )
+    base = [*same, "_i", "_a", "_b", v, *sums]
+    for i, group in ((2, "_a"), (3, "_a, _b")):
+        # Rows of other levels only pass through, each in a window of its own digits.
+        part = f"partition by {', '.join([*same, group])}, _i in ({i - 1}, {i}), if(_i in ({i - 1}, {i}), null, _b)"
+        running = f"over ({part} order by _i, _b, {v} {ahead})"
+        rows = rows.selectExpr(
+            *base,
+            *[f"if(_i = {i}, coalesce(sum(if(_i = {i}, {n}, {b})) {running}, 0), {b}) as {b}" for n, b in zip(sums, before)],
+            *[f"if(_i = {i}, max(if(_i = {i}, null, {t})) over ({part}), {t}) as {t}" for t in total],
+        )
+    return rows.where("_i = 3").selectExpr(*same, v, *sums, *[f"{b} as {q(n + '_before')}" for n, b in zip(names, before)], *[f"{t} as {q(n + '_total')}" for n, t in zip(names, total)])
 
 
 def ordered_totals(
@@ -97,53 +96,86 @@ def ordered_totals(
 ) -> DataFrame:
     """One row per (keys, value): each sum, its total before the value and its group total.
 
-    ``sums`` maps a name to an aggregate, for example ``{"n": F.count("*")}``; the result has
-    ``n``, ``n_before`` and ``n_total``. Nulls come first.
+    ``sums`` maps a name to an aggregate that is added up, for example ``{"n": F.count("*")}``; the
+    result has ``n``, ``n_before`` and ``n_total``. Nulls come first.
     """
     names = list(sums)
     group = list(keys) or ["_whole"]
     rows = df if keys else df.withColumn("_whole", F.lit(0))
     cells = rows.groupBy(*group, value).agg(*[e.alias(n) for n, e in sums.items()])
     small, large = by_size(cells, group, limit)
-    whole = Window.partitionBy(*group)
-    earlier = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    columns = [*keys, value, *names, *[f"{n}_before" for n in names], *[f"{n}_total" for n in names]]
-    plain = small.select(
-        "*", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_before") for n in names], *[F.sum(n).over(whole).alias(f"{n}_total") for n in names]
+    whole = f"partition by {', '.join(q(k) for k in group)}"
+    earlier = f"over ({whole} order by {q(value)} rows between unbounded preceding and 1 preceding)"
+    columns = [q(c) for c in (*keys, value, *names)]
+    plain = small.selectExpr(
+        *columns, *[f"coalesce(sum({q(n)}) {earlier}, 0) as {q(n + '_before')}" for n in names], *[f"sum({q(n)}) over ({whole}) as {q(n + '_total')}" for n in names]
     )
-    return plain.select(*columns).unionByName(digit_totals(large, group, value, names).select(*columns))
+    placed = digit_totals(large, df.schema[value].dataType, group, value, names)
+    return plain.unionByName(placed if keys else placed.drop("_whole"))
 
 
-def percentiles(
+def _digit_percentiles(rows: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]) -> DataFrame:
+    clean = rows.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    placed = digit_totals(clean.groupBy(*keys, "_v").agg(F.expr("count(1) as n")), T.DoubleType(), keys, "_v", ["n"])
+    picks, between = [], []
+    for i, (name, p) in enumerate(probs.items()):
+        pos = f"(n_total - 1) * {float(p)!r}D"
+        at = lambda x: f"max(if(n_before <= {x} and {x} < n_before + n, _v, null))"
+        picks += [F.expr(f"{at(f'floor({pos})')} as _lo{i}"), F.expr(f"{at(f'ceil({pos})')} as _hi{i}"), F.expr(f"max({pos} - floor({pos})) as _f{i}")]
+        between.append(f"_lo{i} * (1 - _f{i}) + _hi{i} * _f{i} as {q(name)}")
+    return placed.groupBy(*keys).agg(*picks).selectExpr(*[q(k) for k in keys], *between)
+
+
+def summary(
     df: DataFrame,
     keys: Sequence[str],
+    aggs: Sequence[Column],
     value: str,
     probs: Mapping[str, float],
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
-    """Exact percentiles per group with linear interpolation; nulls and NaN are left out."""
+    """Aggregates of a group's rows and exact percentiles of one column, with linear interpolation.
+
+    Nulls and NaN have no part in the percentiles. Without keys there is one row, also of no rows.
+    """
     names = list(probs)
     group = list(keys) or ["_whole"]
     rows = df if keys else df.withColumn("_whole", F.lit(0))
-    clean = rows.select(*group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    cells = clean.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("n"))
-    small, large = by_size(cells, group, limit)
-    marks = F.percentile("_v", F.array(*[F.lit(float(probs[n])) for n in names]), F.col("n"))
-    plain = small.groupBy(*group).agg(marks.alias("_p")).select(*group, *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
-    placed = digit_totals(large, group, "_v", ["n"])
-    at = lambda pos: F.max(
-        F.when((F.col("n_before") <= pos) & (pos < F.col("n_before") + F.col("n")), F.col("_v"))
-    )
-    picks = []
-    for name, p in probs.items():
-        pos = (F.col("n_total") - 1) * F.lit(float(p))
-        picks += [at(F.floor(pos)).alias(f"_lo_{name}"), at(F.ceil(pos)).alias(f"_hi_{name}"), F.max(pos - F.floor(pos)).alias(f"_f_{name}")]
-    between = [(F.col(f"_lo_{n}") * (1 - F.col(f"_f_{n}")) + F.col(f"_hi_{n}") * F.col(f"_f_{n}")).alias(n) for n in names]
-    found = plain.unionByName(placed.groupBy(*group).agg(*picks).select(*group, *between))
-    if keys:
-        return found
-    # Without any value there is still one row, as of any aggregate over a whole table.
-    return found.agg(*[F.max(n).alias(n) for n in names])
+    small, large = by_size(rows, group, limit)
+    v = F.col(value).cast("double")
+    marks = F.percentile(F.when(~F.isnan(v), v), F.array(*[F.lit(float(probs[n])) for n in names])).alias("_p")
+    if not keys:
+        # One of the two sides has all rows; the other one's row of an empty table is left out.
+        some = F.count(F.lit(1)).alias("_some")
+        plain = small.agg(*aggs, some, marks)
+        spread_out = large.groupBy(*group).agg(*aggs, some).join(_digit_percentiles(large, group, value, probs), group, "left")
+        plain = plain.select(*[c for c in plain.columns if c != "_p"], *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
+        both = plain.unionByName(spread_out.select(*plain.columns))
+        kept = [F.max_by(c, "_some").alias(c) for c in plain.columns if c != "_some"]
+        return both.agg(*kept)
+    plain = small.groupBy(*keys).agg(*aggs, marks)
+    plain = plain.select(*[c for c in plain.columns if c != "_p"], *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
+    named = _digit_percentiles(large, keys, value, probs).select(*[F.col(k).alias(f"_m_{k}") for k in keys], *names)
+    spread_out = large.groupBy(*keys).agg(*aggs).join(named, on_keys(keys, [f"_m_{k}" for k in keys]), "left")
+    return plain.unionByName(spread_out.select(*plain.columns))
+
+
+def percentiles(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: Mapping[str, float],
+    limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """Exact percentiles per group with linear interpolation; nulls and NaN are left out, and groups of nothing else."""
+    clean = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    return summary(clean, keys, [F.count(F.lit(1)).alias("_rows")], "_v", probs, limit).drop("_rows")
+
+
+def rank_table(df: DataFrame, keys: Sequence[str], value: str, out: str, limit: int = GROUP_LIMIT) -> DataFrame:
+    """The 1-based rank, ties averaged, of each different value of a group."""
+    totals = ordered_totals(df, keys, value, {"_at": F.count(F.lit(1))}, limit)
+    return totals.selectExpr(*[q(c) for c in (*keys, value)], f"_at_before + (_at + 1) / 2D as {q(out)}")
 
 
 def _with_totals(df: DataFrame, keys: Sequence[str], value: str, limit: int) -> DataFrame:
@@ -158,8 +190,9 @@ def average_ranks(
     df: DataFrame, keys: Sequence[str], value: str, out: str, limit: int = GROUP_LIMIT
 ) -> DataFrame:
     """The frame with the 1-based rank of ``value`` inside its group, ties averaged."""
-    found = _with_totals(df, keys, value, limit)
-    return found.withColumn(out, F.col("_before") + (F.col("_at") + 1) / F.lit(2.0)).drop("_at", "_before")
+    names = [*keys, value]
+    table = rank_table(df, keys, value, out, limit).select(*[F.col(k).alias(f"_r_{k}") for k in names], out)
+    return df.join(table, on_keys(names, [f"_r_{k}" for k in names])).drop(*[f"_r_{k}" for k in names])
 
 
 def row_positions(
@@ -171,24 +204,6 @@ def row_positions(
     return found.withColumn(out, F.col("_before") + place - 1).drop("_at", "_before")
 
 
-def summary(
-    df: DataFrame,
-    keys: Sequence[str],
-    aggs: Sequence[Column],
-    value: str,
-    probs: Mapping[str, float],
-    limit: int = GROUP_LIMIT,
-) -> DataFrame:
-    """Aggregates and exact percentiles of one column."""
-    base = df.groupBy(*keys).agg(*aggs)
-    marks = percentiles(df, keys, value, probs, limit)
-    if not keys:
-        one = F.lit(1).alias("_one")
-        return base.select("*", one).join(marks.select("*", one), "_one", "left").drop("_one")
-    named = marks.select(*[F.col(k).alias(f"_m_{k}") for k in keys], *probs)
-    return base.join(named, on_keys(keys, [f"_m_{k}" for k in keys]), "left").drop(*[f"_m_{k}" for k in keys])
-
-
 PART_ROWS = 100_000
 
 

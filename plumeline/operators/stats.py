@@ -16,7 +16,11 @@ from plumeline.operators import spread
 def spearman(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """Correlation of tie-averaged ranks."""
     both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, x, y)
-    ranked = spread.average_ranks(spread.average_ranks(both, keys, x, "_rx"), keys, y, "_ry")
+    ranked = both
+    for value, rank in ((x, "_rx"), (y, "_ry")):
+        names = [*keys, value]
+        table = spread.rank_table(both, keys, value, rank).select(*[F.col(k).alias(f"{rank}_{k}") for k in names], rank)
+        ranked = ranked.join(table, spread.on_keys(names, [f"{rank}_{k}" for k in names]))
     return ranked.groupBy(*keys).agg(F.corr("_rx", "_ry").alias("rho"), F.count("_rx").alias("n"))
 
 

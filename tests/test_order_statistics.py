@@ -48,13 +48,14 @@ def test_no_job_before_the_result_is_asked_for(spark, points):
     assert jobs.n == 0
 
 
-def test_one_scan(spark, tmp_path, points):
+def test_scans_of_what_ran(spark, tmp_path, points):
+    """Without large groups the digits' branch, and for percentiles the count of group sizes, are gone from what is left to run."""
     points.write.parquet(str(tmp_path / "t"))
     table = spark.read.parquet(str(tmp_path / "t"))
     for found in (spread.ordered_totals(table, ["g"], "v", {"n": F.count(F.lit(1))}), spread.percentiles(table, ["g"], "v", {"p": 0.5})):
         found.collect()
         plan = found._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
-        assert plan.count("FileScan parquet") == 1, plan
+        assert plan.count("FileScan parquet") == 1 and "Union" not in plan, plan
 
 
 @pytest.mark.parametrize("keys", [["g"], []])
