@@ -89,6 +89,43 @@ def text_column(fn: Callable[[pa.Array], pa.Array], kind: str, bytes_: int = STE
     return run
 
 
+#: Bits of a Bloom filter, as a power of two; its size does not grow with what it holds.
+BLOOM = 26
+
+
+class Bloom:
+    """Which 64-bit hashes may be among some others. Where it holds very many, it says yes to more, never no to one of them.
+
+    Two positions a hash; only the words of the filter, 8 MB at most, come to the driver and go to the tasks.
+    """
+
+    def __init__(self, hashes: DataFrame):
+        """``hashes`` has one column of longs."""
+        spark, (name,) = hashes.sparkSession, hashes.columns
+        places = F.explode(F.array(*[F.shiftrightunsigned(name, k * BLOOM).bitwiseAND((1 << BLOOM) - 1) for k in range(2)])).alias("place")
+        word, bit = F.shiftright("place", 6).alias("word"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bit")
+        found = hashes.where(F.col(name).isNotNull()).select(places).select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+        words = np.zeros(1 << (BLOOM - 6), np.int64)
+        words[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+        self.words = spark.sparkContext.broadcast(words)
+
+    def among(self, hashes: np.ndarray) -> np.ndarray:
+        words, yes = self.words.value, np.ones(len(hashes), bool)
+        for k in range(2):
+            place = (hashes.view(np.uint64) >> np.uint64(k * BLOOM)) & np.uint64((1 << BLOOM) - 1)
+            yes &= (words.view(np.uint64)[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+        return yes
+
+    def may(self, hashes: Column) -> Column:
+        """The same for a column of longs, without nulls."""
+
+        @F.arrow_udf("boolean")
+        def run(column: pa.Array) -> pa.Array:
+            return pa.array(self.among(column.to_numpy(zero_copy_only=False)))
+
+        return run(hashes)
+
+
 class Words:
     """Texts as runs of word numbers: ``codes[starts[i]:starts[i + 1]]`` are the words of text i.
 
