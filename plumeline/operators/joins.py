@@ -735,9 +735,8 @@ def alignment_gaps(a: DataFrame, b: DataFrame, key: str | Sequence[str]) -> Data
     ).agg(F.count_if(F.col("c") == 1).alias("only_a"), F.count_if(F.col("c") == 2).alias("only_b"))
 
 
-def experiment_grid(spark, axes: Mapping[str, Sequence]) -> DataFrame:
-    """Every combination of a few named settings."""
-    df = spark.range(1).drop("id")
+def experiment_grid(df: DataFrame, axes: Mapping[str, Sequence]) -> DataFrame:
+    """Every row of a table of cases with every combination of a few named settings."""
     for name, values in axes.items():
         df = df.select("*", F.explode(F.array(*[F.lit(v) for v in values])).alias(name))
     return df

@@ -161,9 +161,9 @@ def bank_row_table(spark, d):
 @query(
     "snapshot_universe",
     """SELECT l_suppkey AS emitter, snap FROM (SELECT DISTINCT l_suppkey FROM lineitem) CROSS JOIN (SELECT unnest([60, 70, 80, 90, 100, 110]) AS snap)
-       UNION SELECT l_suppkey, CAST(l_quantity AS INT) + 60 FROM lineitem WHERE l_discount = 0.1 AND l_tax = 0.08""",
+       UNION SELECT l_suppkey, CAST(l_quantity AS INT) + 60 FROM lineitem""",
 )
 def snapshot_universe(spark, d):
     t = fx.table(spark, d, "lineitem").withColumnRenamed("l_suppkey", "emitter")
-    used = t.where("l_discount = 0.1 and l_tax = 0.08").select("emitter", (F.col("l_quantity").cast("int") + 60).alias("snap"))
+    used = t.select("emitter", (F.col("l_quantity").cast("int") + 60).alias("snap"))
     return B.snapshot_universe(t.select("emitter").distinct(), list(range(60, 120, 10)), used)

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from plumeline.functions.angles import scale_to_rate
 from plumeline.operators import inject as I
+from plumeline.operators.spectral import CONFIGS
 from plumeline.plans import fixtures as fx
 from plumeline.plans.queries_aggs import rounded
 from plumeline.plans.queries_joins import bank
 from plumeline.plans.queries_pixels import GEO, geo
 from plumeline.plans.queries_select import DRAW
-from plumeline.plans.queries_spectral import TEMPLATE, cube
+from plumeline.plans.queries_spectral import TEMPLATE, WAVELENGTHS, cube
 from plumeline.plans.registry import query
 
 
@@ -184,7 +185,7 @@ def retrieve_after_injection(spark, d):
     patch = c.select("scene").distinct().select(
         "scene", F.lit(1).alias("row_off"), F.lit(2).alias("col_off"), F.lit(4).alias("height"), F.lit(4).alias("width")
     )
-    out = I.retrieve_after_injection(c, changed, patch, TEMPLATE, ["mf", "rmf"], alpha=0.05)
+    out = I.retrieve_after_injection(c, changed, patch, TEMPLATE, list(CONFIGS), wavelengths=WAVELENGTHS, alpha=0.05)
     return out.select("method", "scene", "row", "col", F.round("enhancement", 3).alias("enhancement"))
 
 

@@ -359,7 +359,7 @@ def best_overlap_candidate(spark, d):
 
 @query(
     "lut_bracket_join",
-    """WITH lut AS (SELECT p_size % 5 AS curve, CAST(p_size AS DOUBLE) AS x, avg(p_retailprice) AS y FROM part WHERE p_size BETWEEN 4 AND 44 GROUP BY ALL),
+    """WITH lut AS (SELECT p_size % 5 AS curve, CAST(p_size AS DOUBLE) AS x, avg(p_retailprice) AS y FROM part GROUP BY ALL),
       l2 AS (SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny, row_number() OVER w = 1 AS first FROM lut WINDOW w AS (PARTITION BY curve ORDER BY x)),
       q AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linenumber % 5 AS curve, l_quantity + 0.25 AS x FROM lineitem)
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(CASE WHEN q.x < l.x THEN l.y WHEN l.nx IS NULL THEN l.y ELSE l.y + (q.x - l.x) / (l.nx - l.x) * (l.ny - l.y) END, 5) AS t
@@ -368,7 +368,6 @@ def best_overlap_candidate(spark, d):
 def lut_bracket_join(spark, d):
     lut = (
         fx.table(spark, d, "part")
-        .where(F.col("p_size").between(4, 44))
         .groupBy((F.col("p_size") % 5).alias("curve"), F.col("p_size").cast("double").alias("x"))
         .agg(F.avg("p_retailprice").alias("y"))
     )
@@ -473,9 +472,8 @@ def positional_alignment_join(spark, d):
        JOIN documents ON lang = sensor GROUP BY ALL""",
 )
 def experiment_grid(spark, d):
-    per = fx.table(spark, d, "documents").groupBy(F.col("lang").alias("sensor")).agg(F.count("*").alias("scenes"))
-    grid = J.experiment_grid(spark, {"sensor": ["en", "de", "fr", "es"], "seed": [0, 1, 2], "refs": [1, 4], "model": ["ridge", "trees"]})
-    return grid.join(per, "sensor")
+    per = fx.table(spark, d, "documents").where("lang is not null").groupBy(F.col("lang").alias("sensor")).agg(F.count("*").alias("scenes"))
+    return J.experiment_grid(per, {"seed": [0, 1, 2], "refs": [1, 4], "model": ["ridge", "trees"]})
 
 
 @query(

@@ -64,12 +64,12 @@ def decode_bit(spark, d):
 
 @query(
     "mask_union_dilate",
-    f"""WITH {fx.MASKS}, m AS (SELECT DISTINCT scene, row, col FROM masks WHERE plume = scene % 11),
+    f"""WITH {fx.MASKS}, m AS (SELECT DISTINCT scene, row, col FROM masks),
       o AS (SELECT a.i AS dr, b.i AS dc FROM range(-2, 3) a(i), range(-2, 3) b(i))
     SELECT DISTINCT scene, CAST(row + dr AS INT) AS row, CAST(col + dc AS INT) AS col FROM m CROSS JOIN o WHERE row + dr BETWEEN 0 AND 11 AND col + dc BETWEEN 0 AND 11""",
 )
 def mask_union_dilate(spark, d):
-    m = fx.masks(spark, d).where("plume = scene % 11")
+    m = fx.masks(spark, d)
     return P.mask_union_dilate([m.where("side = 'a'"), m.where("side = 'b'")], shape(spark, d), 2)
 
 
@@ -119,12 +119,12 @@ def tile_windows_column(spark, d):
     )
 
 
-BOXES = f"""{fx.MASKS}, lows AS (SELECT scene, plume, CAST(min(row) AS INT) * 3 AS row0, CAST(min(col) AS INT) * 3 AS col0 FROM masks WHERE side = 'a' AND (row + plume) % 3 = 1 AND col > 2 GROUP BY scene, plume),
+BOXES = f"""{fx.MASKS}, lows AS (SELECT scene, plume, CAST(min(row) AS INT) * 3 AS row0, CAST(min(col) AS INT) * 3 AS col0 FROM masks WHERE side = 'a' GROUP BY scene, plume),
   boxes AS (SELECT *, row0 + 2 + plume AS row1, col0 + 3 + plume AS col1 FROM lows)"""
 
 
 def boxes(spark, d):
-    m = fx.masks(spark, d).where("side = 'a' and (row + plume) % 3 = 1 and col > 2").groupBy("scene", "plume").agg(
+    m = fx.masks(spark, d).where("side = 'a'").groupBy("scene", "plume").agg(
         (F.min("row") * 3).alias("row0"), (F.min("col") * 3).alias("col0")
     )
     return m.select("*", (F.col("row0") + 2 + F.col("plume")).alias("row1"), (F.col("col0") + 3 + F.col("plume")).alias("col1"))
@@ -171,11 +171,13 @@ def random_patch_pick(spark, d):
 @query(
     "chip_crop",
     f"""WITH {fx.MASKS} SELECT scene, greatest(min(row) - 2, 0) AS row0, least(max(row) + 3, 12) AS row1, greatest(min(col) - 2, 0) AS col0, least(max(col) + 3, 12) AS col1
-    FROM masks WHERE side = 'a' AND plume = 3 AND row % 4 = 1 AND col % 5 = 2 GROUP BY scene""",
+    FROM (SELECT scene * 100 + plume AS scene, row, col FROM masks WHERE side = 'a') GROUP BY scene""",
 )
 def chip_crop(spark, d):
-    m = fx.masks(spark, d).where("side = 'a' and plume = 3 and row % 4 = 1 and col % 5 = 2")
-    return P.chip_crop(m, shape(spark, d), 2)
+    # A chip per plume of side a.
+    m = fx.masks(spark, d).where("side = 'a'").withColumn("plume_scene", F.col("scene") * 100 + F.col("plume"))
+    shapes = m.select("scene", "plume_scene").distinct().join(shape(spark, d), "scene").drop("scene").withColumnRenamed("plume_scene", "scene")
+    return P.chip_crop(m.drop("scene").withColumnRenamed("plume_scene", "scene"), shapes, 2)
 
 
 @query(
@@ -218,17 +220,15 @@ def alpha_to_mask(spark, d):
 
 @query(
     "pixel_iou",
-    f"""WITH {fx.MASKS}, a AS (SELECT DISTINCT scene, (plume + 1) // 2 AS pair, row, col FROM masks WHERE side = 'a' AND plume <= 4), b AS (SELECT DISTINCT scene, plume AS pair, row, col FROM masks WHERE side = 'b' AND plume <= 2)
+    f"""WITH {fx.MASKS}, a AS (SELECT DISTINCT scene, (plume + 1) // 2 AS pair, row, col FROM masks WHERE side = 'a'), b AS (SELECT DISTINCT scene, plume AS pair, row, col FROM masks WHERE side = 'b')
     SELECT scene, pair, count(*) FILTER (a.row IS NOT NULL AND b.row IS NOT NULL) AS inter, count(*) AS union, count(a.row) AS area_a, count(b.row) AS area_b,
       round(count(*) FILTER (a.row IS NOT NULL AND b.row IS NOT NULL) / count(*), 8) AS iou
     FROM (SELECT *, row AS r, col AS c FROM a) a FULL JOIN (SELECT *, row AS r, col AS c FROM b) b USING (scene, pair, r, c) GROUP BY ALL""",
 )
 def pixel_iou(spark, d):
     m = fx.masks(spark, d).withColumnRenamed("plume", "code")
-    scenes = m.select("scene").distinct()
-    entries = [("a", 1, 1), ("a", 1, 2), ("a", 2, 3), ("a", 2, 4), ("b", 1, 1), ("b", 2, 2)]
-    rows = F.array(*[F.struct(F.lit(s).alias("side"), F.lit(p).alias("pair"), F.lit(c).alias("code")) for s, p, c in entries])
-    wanted = scenes.select("scene", F.explode(rows).alias("w")).select("scene", "w.*")
+    pair = F.when(F.col("side") == "a", F.expr("cast((code + 1) div 2 as int)")).otherwise(F.col("code"))
+    wanted = m.select("scene", "side", pair.alias("pair"), "code").distinct()
     return rounded(P.code_iou(m.where("side = 'a'").drop("side"), m.where("side = 'b'").drop("side"), wanted), 8)
 
 
@@ -401,14 +401,14 @@ def random_mask_control(spark, d):
 
 @query(
     "mask_hole_compare",
-    f"""WITH RECURSIVE {fx.MASKS}, m AS (SELECT DISTINCT CAST(scene AS INT) AS scene, row, col FROM masks WHERE side = 'a' AND plume <= 4), b AS (SELECT scene, min(row) - 1 AS r0, max(row) + 1 AS r1, min(col) - 1 AS c0, max(col) + 1 AS c1 FROM m GROUP BY scene),
+    f"""WITH RECURSIVE {fx.MASKS}, m AS (SELECT DISTINCT CAST(scene AS INT) AS scene, row, col FROM masks WHERE side = 'a'), b AS (SELECT scene, min(row) - 1 AS r0, max(row) + 1 AS r1, min(col) - 1 AS c0, max(col) + 1 AS c1 FROM m GROUP BY scene),
       g AS (SELECT scene, CAST(r AS INT) AS row, CAST(c AS INT) AS col, r = r0 OR r = r1 OR c = c0 OR c = c1 AS rim FROM b, range(-1, 13) x(r), range(-1, 13) y(c) WHERE r BETWEEN r0 AND r1 AND c BETWEEN c0 AND c1),
       e AS (SELECT g.* FROM g LEFT JOIN m USING (scene, row, col) WHERE m.scene IS NULL),
       f AS (SELECT scene, row, col FROM e WHERE rim UNION SELECT e.scene, e.row, e.col FROM f JOIN e ON e.scene = f.scene AND abs(e.row - f.row) + abs(e.col - f.col) = 1)
     SELECT b.scene, (SELECT count(*) FROM e WHERE e.scene = b.scene) - (SELECT count(*) FROM f WHERE f.scene = b.scene) AS hole_pixels FROM b""",
 )
 def mask_hole_compare(spark, d):
-    m = fx.masks(spark, d).where("side = 'a' and plume <= 4").select(F.col("scene").cast("int").alias("scene"), "row", "col").distinct()
+    m = fx.masks(spark, d).where("side = 'a'").select(F.col("scene").cast("int").alias("scene"), "row", "col").distinct()
     return P.mask_holes(m, ["scene"]).select("scene", "hole_pixels")
 
 

@@ -186,7 +186,7 @@ def patience_early_stop(spark, d):
     return rounded(R.patience_early_stop(s, ["run"], "it", "ap", 6, 0.001, 300), 8)
 
 
-SNAPS = """snaps AS (SELECT DISTINCT l_suppkey AS run, CAST(l_quantity AS INT) AS snap FROM lineitem WHERE l_discount = 0.1 AND l_linenumber < l_suppkey % 8)"""
+SNAPS = """snaps AS (SELECT DISTINCT l_orderkey AS run, CAST(l_quantity AS INT) AS snap FROM lineitem)"""
 
 
 @query(
@@ -202,8 +202,7 @@ SNAPS = """snaps AS (SELECT DISTINCT l_suppkey AS run, CAST(l_quantity AS INT) A
 def choose_spaced_trio(spark, d):
     t = (
         fx.table(spark, d, "lineitem")
-        .where((F.col("l_discount") == 0.1) & (F.col("l_linenumber") < F.col("l_suppkey") % 8))
-        .select(F.col("l_suppkey").alias("run"), F.col("l_quantity").cast("int").alias("snap"))
+        .select(F.col("l_orderkey").alias("run"), F.col("l_quantity").cast("int").alias("snap"))
     )
     return R.choose_spaced_trio(t, ["run"], "snap", (8, 25, 42), 16)
 

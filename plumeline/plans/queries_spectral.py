@@ -190,7 +190,7 @@ def _by_name(name, method, **settings):
 
 matched_filter = _by_name("matched_filter", "mf", alpha=0.05)
 albedo_matched_filter = _by_name("albedo_matched_filter", "rmf", alpha=0.05)
-iterative_sparse_filter = _by_name("iterative_sparse_filter", "mag1c", alpha=0.05, iterations=10)
+iterative_sparse_filter = _by_name("iterative_sparse_filter", "mag1c", alpha=0.05)
 iterative_sparse_filter_fast = _by_name("iterative_sparse_filter_fast", "mag1c_fast", alpha=0.05, iterations=30, tolerance=1e-6)
 wide_window_filter = _by_name("wide_window_filter", "wwmf", alpha=0.05)
 retrieve_column_groups = _by_name("retrieve_column_groups", "mf", alpha=0.05, column_step=4)

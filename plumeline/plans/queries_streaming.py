@@ -151,9 +151,8 @@ def pluggable_methods(spark, d):
     """Every retrieval by name over the same cube; how many pixels each marks."""
     c = cube(spark, d)
     out = None
-    for name in ("mf", "rmf", "mag1c", "wwmf"):
-        settings = {"iterations": 5} if name == "mag1c" else {}
-        part = S.retrieve(c, TEMPLATE, name, WAVELENGTHS, alpha=0.05, **settings).groupBy("scene").agg(
+    for name in S.CONFIGS:
+        part = S.retrieve(c, TEMPLATE, name, WAVELENGTHS, alpha=0.05).groupBy("scene").agg(
             F.lit(name).alias("method"), F.count("enhancement").alias("valid"), F.avg("albedo").alias("albedo")
         )
         out = part if out is None else out.unionByName(part)
