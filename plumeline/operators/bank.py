@@ -252,6 +252,8 @@ def volume_metrics(voxels: DataFrame, sources: DataFrame, heights: DataFrame, do
         F.sum("ppb").alias("ime_ppb_px"),
         F.max("ppb").alias("peak_voxel_ppb"),
         F.max_by("level", place).alias("peak_level"),
+        F.max_by(x, place).alias("peak_downwind_m"),
+        F.max_by(y, place).alias("peak_crosswind_m"),
         F.count_if(F.col("ppb") != 0).alias("_nonzero"),
     )
     mean = lambda n: F.col(f"_{n}1") / F.col("_t")
@@ -278,11 +280,48 @@ def volume_metrics(voxels: DataFrame, sources: DataFrame, heights: DataFrame, do
         "ime_ppb_px",
         "peak_voxel_ppb",
         "peak_level",
+        "peak_downwind_m",
+        "peak_crosswind_m",
         (F.col("_t") / 1e9 * TRACER_AIR_MOL * d.pixel_m * d.pixel_m).alias("mass_total_mol"),
         (1 - F.col("_nonzero") / F.lit(float(cells))).alias("zeros_share"),
     )
 
 
+# Largest share of the peak at the entry and at the sides, largest share of mass upwind of
+# the source, largest width at the exit, and the share of the peak from which an edge counts as touched.
+ENTRY_SHARE = 0.02
+LATERAL_SHARE = 0.02
+FOREIGN_SHARE = 0.002
+EXIT_WIDTH_M = 60.0
+TOUCHED_SHARE = 0.05
+
+
+def volume_criteria(measures: DataFrame) -> DataFrame:
+    """The measures of ``snapshot_measures`` with edge shares, five criteria and whether all of them hold.
+
+    A plume fades out if it falls towards the exit and is lower there than anywhere in its interior.
+    Without a strip upwind of the source nothing is known about foreign mass, and that criterion fails.
+    """
+    sides = ("upwind", "downwind", "top", "bottom")
+    share = {s: F.try_divide(F.col(f"edge_{s}"), F.col("peak")) for s in sides}
+    known = lambda c: F.coalesce(c, F.lit(False))
+    criteria = {
+        "fades_out": (F.col("slope") < 0) & (F.col("edge_downwind") < F.col("interior_min")),
+        "entry_ok": F.col("edge_upwind") < ENTRY_SHARE * F.col("peak"),
+        "lateral_ok": (F.col("edge_top") < LATERAL_SHARE * F.col("peak")) & (F.col("edge_bottom") < LATERAL_SHARE * F.col("peak")),
+        "foreign_ok": (F.col("foreign_share") < FOREIGN_SHARE) & ~F.isnan("foreign_share"),
+        "width_ok": F.col("width_edge_m") <= EXIT_WIDTH_M,
+    }
+    rows = measures.select(
+        "*",
+        *[s.alias(f"{n}_share") for n, s in share.items()],
+        F.greatest(*share.values()).alias("edge_share"),
+        known(F.greatest(*share.values()) > TOUCHED_SHARE).alias("touches_edge"),
+        *[known(c).alias(n) for n, c in criteria.items()],
+    )
+    return rows.withColumn("passes", F.expr(" and ".join(criteria)))
+
+
 def snapshot_selection(df: DataFrame, run: Sequence[str], snap: str, passes: Column) -> DataFrame:
     """At most three passing snapshots per run, well apart and near the target minutes."""
     return choose_spaced_trio(df.where(passes), run, snap, SNAPSHOT_TARGETS, SNAPSHOT_GAP)

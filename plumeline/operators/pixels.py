@@ -25,6 +25,9 @@ MIN_BACKGROUND_PIXELS = 20
 MIN_SD = 1e-9
 MIN_LEAF_BYTES = 30_000
 
+#: Codes of a scene's mask fit into a byte.
+MAX_CODES = 255
+
 
 def mask_nodata(value: Column) -> Column:
     """Fill codes and non-finite values become the declared nodata value."""
@@ -196,8 +199,8 @@ def instance_codes(
 
     ``inner_a`` and ``inner_b`` list overlaps inside one side (scene, plume_a, plume_b, in_a, in_b).
     A plume in one of them is not clean, unless it is the one inside the other. A contained plume
-    adds its code to the outer one; other overlaps get a zone code. A scene never needs more than
-    255 codes, so it is numbered by a window over its plumes.
+    adds its code to the outer one; other overlaps get a zone code. Codes are bytes: a scene that needs
+    more than 255 of them fails the job with its name. Until then it is numbered by a window.
     """
 
     def unclean(inner):
@@ -222,7 +225,9 @@ def instance_codes(
         .unionByName(zone(inner_b, 5))
     )
     w = Window.partitionBy("scene").orderBy("kind", "plume_a", "plume_b")
-    return every.withColumn("code", F.row_number().over(w))
+    code = F.row_number().over(w)
+    full = F.raise_error(F.concat(F.lit("more than 255 codes in scene "), F.col("scene").cast("string")))
+    return every.withColumn("code", F.when(code <= MAX_CODES, code).otherwise(full.cast("int")))
 
 
 def alpha_to_mask(df: DataFrame, alpha_band: int = 4, opaque: float = 255.0) -> DataFrame:

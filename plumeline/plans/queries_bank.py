@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from plumeline.operators import bank as B
 from plumeline.plans import fixtures as fx
 from plumeline.plans.queries_aggs import rounded
-from plumeline.plans.registry import query
+from plumeline.plans.registry import ORACLE, query
 from plumeline.session import cut_lineage
 
 # The fixture volumes: 51 rows, 40 columns, levels 1 to 7.
@@ -123,14 +123,27 @@ def snapshot_measures(spark, d):
     return rounded(m.select(*[F.round(c, 6 if c in six else 5).alias(c) if t == "double" else F.col(c) for c, t in m.dtypes]))
 
 
+@query(
+    "volume_criteria",
+    f"""WITH m AS ({ORACLE['snapshot_measures']}), c AS (SELECT *, slope < 0 AND edge_downwind < interior_min AS fades_out, edge_upwind < 0.02 * peak AS entry_ok, edge_top < 0.02 * peak AND edge_bottom < 0.02 * peak AS lateral_ok,
+      coalesce(foreign_share < 0.002, false) AS foreign_ok, width_edge_m <= 60 AS width_ok, greatest(edge_upwind, edge_downwind, edge_top, edge_bottom) / peak AS edge FROM m)
+    SELECT volume, round(edge, 4) AS edge_share, round(edge_upwind / peak, 4) AS upwind_share, round(edge_downwind / peak, 4) AS downwind_share, edge > 0.05 AS touches_edge,
+      fades_out, entry_ok, lateral_ok, foreign_ok, width_ok, fades_out AND entry_ok AND lateral_ok AND foreign_ok AND width_ok AS passes FROM c""",
+)
+def volume_criteria(spark, d):
+    c = B.volume_criteria(B.snapshot_measures(fx.voxels(spark, d), sources(spark, d), DOMAIN))
+    shares = [F.round(n, 4).alias(n) for n in ("edge_share", "upwind_share", "downwind_share")]
+    return c.select("volume", *shares, "touches_edge", "fades_out", "entry_ok", "lateral_ok", "foreign_ok", "width_ok", "passes")
+
+
 @query(
     "volume_metrics",
     f"""WITH {fx.VOXELS}, {SOURCES}, v AS (SELECT v.*, (col - center_col) * 20 AS x, (row - center_row) * 20 AS y, level * 20.0 - 10 AS z FROM voxels v JOIN src USING (volume) WHERE row BETWEEN 2 AND 48 AND col BETWEEN 2 AND 37),
-      s AS (SELECT volume, sum(ppb) AS t, sum(ppb * x) / sum(ppb) AS cx, sum(ppb * y) / sum(ppb) AS cy, sum(ppb * z) / sum(ppb) AS cz, sum(ppb * x * x) / sum(ppb) AS x2, sum(ppb * z * z) / sum(ppb) AS z2, max(ppb) AS pk, arg_max(level, ppb) AS pl, count(*) AS n,
+      s AS (SELECT volume, sum(ppb) AS t, sum(ppb * x) / sum(ppb) AS cx, sum(ppb * y) / sum(ppb) AS cy, sum(ppb * z) / sum(ppb) AS cz, sum(ppb * x * x) / sum(ppb) AS x2, sum(ppb * z * z) / sum(ppb) AS z2, max(ppb) AS pk, arg_max(level, ppb) AS pl, arg_max(x, ppb) AS px, arg_max(y, ppb) AS py, count(*) AS n,
         max(z) FILTER (ppb > 50) - min(z) FILTER (ppb > 50) AS hz FROM v GROUP BY volume),
       c AS (SELECT volume, (max(col) - min(col)) * 20.0 :: DOUBLE AS len FROM (SELECT volume, row, col, sum(ppb) AS p FROM v GROUP BY ALL HAVING sum(ppb) > 50) GROUP BY volume)
     SELECT volume, round(cx, 4) AS center_downwind_m, round(cy, 4) AS center_crosswind_m, round(cz, 4) AS mean_height_m, round(sqrt(x2 - cx * cx), 4) AS sigma_downwind_m, round(sqrt(z2 - cz * cz), 4) AS sigma_vertical_m,
-      len AS length_m, coalesce(hz + 20, 0) :: DOUBLE AS height_m, round(t, 3) AS ime_ppb_px, round(pk, 5) AS peak_voxel_ppb, pl AS peak_level, round(t / 1e9 * 360550.0 * 400, 4) AS mass_total_mol, round(1 - n / (7.0 * 47 * 36), 8) AS zeros_share FROM s JOIN c USING (volume)""",
+      len AS length_m, coalesce(hz + 20, 0) :: DOUBLE AS height_m, round(t, 3) AS ime_ppb_px, round(pk, 5) AS peak_voxel_ppb, pl AS peak_level, round(px, 4) AS peak_downwind_m, round(py, 4) AS peak_crosswind_m, round(t / 1e9 * 360550.0 * 400, 4) AS mass_total_mol, round(1 - n / (7.0 * 47 * 36), 8) AS zeros_share FROM s JOIN c USING (volume)""",
 )
 def volume_metrics(spark, d):
     v = fx.voxels(spark, d)
