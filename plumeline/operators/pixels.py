@@ -5,10 +5,15 @@ A pixel table has scene, row and col (and band, value); a mask is the set of its
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from plumeline.functions.angles import NODATA, circular_diff
 from plumeline.functions.draws import draw
@@ -373,34 +378,99 @@ def _masked(value: Column, mask: Column, tag: str) -> list[Column]:
     ]
 
 
+#: Numbers of pair matrices that a task holds at a time, for its samples and for one step of pixels.
+PAIR_CELLS, STEP_CELLS = 8_000_000, 1_000_000
+
+
+class _Moments:
+    """Count, mean and squared deviations of each cell of a matrix, fed with stacks of matrices."""
+
+    def __init__(self, n: int):
+        self.n, self.mean, self.dev = np.zeros((n, n)), np.zeros((n, n)), np.zeros((n, n))
+
+    def add(self, values: np.ndarray) -> None:
+        ok = np.isfinite(values)
+        n = ok.sum(axis=0)
+        mean = np.where(ok, values, 0.0).sum(axis=0) / np.maximum(n, 1)
+        dev = (np.where(ok, values - mean, 0.0) ** 2).sum(axis=0)
+        both = np.maximum(self.n + n, 1)
+        gap = mean - self.mean
+        self.dev += dev + gap * gap * self.n * n / both
+        self.mean += gap * n / both
+        self.n += n
+
+
+def _matrix(column: pa.Array, n: int) -> np.ndarray:
+    """Lists as rows of n numbers; what is missing is NaN."""
+    out = np.full((len(column), n), np.nan)
+    lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    flat = pc.cast(column.drop_null().flatten(), pa.float64()).to_numpy(zero_copy_only=False)
+    at = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    inside = at < n
+    out[np.repeat(np.arange(len(column)), lengths)[inside], at[inside]] = flat[inside]
+    return out
+
+
 def band_ratio_pairs(df: DataFrame, sample: str, target: str, reference: str, mask: Column, n: int, min_mask: int = 10) -> DataFrame:
     """Plume contrast of every ordered band pair, raw difference and normalised quotient.
 
     The scene means that normalise the quotient are constant factors, which the contrast does not
-    see, so one pass over the pixels gives both. Each pixel fans out to its n*(n-1) band pairs and
-    is folded into (sample, i, j) before the shuffle.
+    see, so one pass over the pixels gives both. A task keeps count, mean and deviations of all pairs of
+    a sample as matrices, fed with blocks of pixels, and gives each pair once per sample; those parts
+    are put together afterwards. Missing and non-finite ratios are left out.
     """
-    pairs = df.select(
-        sample,
-        mask.alias("_m"),
-        F.col(target).alias("_t"),
-        F.col(reference).alias("_r"),
-        F.explode(F.sequence(F.lit(0), F.lit(n * n - 1))).alias("_k"),
-    ).select(sample, "_m", "_t", "_r", F.floor(F.col("_k") / n).cast("int").alias("i"), (F.col("_k") % n).cast("int").alias("j"))
-    at = lambda a, k: F.get(F.col(a), F.col(k)).cast("double")
-    ti, tj, ri, rj = at("_t", "i"), at("_t", "j"), at("_r", "i"), at("_r", "j")
-    safe = (F.abs(tj) > 1e-9) & (F.abs(rj) > 1e-9)
-    q_t, q_r = F.when(safe, ti / tj), F.when(safe, ri / rj)
-    norm = F.try_divide(q_t, q_r)
-    stats = (
-        pairs.where("i <> j")
-        .select(sample, "_m", "i", "j", (q_t - q_r).alias("_d"), norm.alias("_q"))
-        .groupBy(sample, "i", "j")
-        .agg(F.count_if(F.col("_m")).alias("_area"), *_masked(F.col("_d"), F.col("_m"), "d"), *_masked(F.col("_q"), F.col("_m"), "q"))
-    )
-    c = F.col
-    get = lambda t: contrast(c(f"np{t}"), c(f"mp{t}"), c(f"nb{t}"), c(f"mb{t}"), c(f"sb{t}"))
-    return stats.where(F.col("_area") >= min_mask).select(sample, "i", "j", get("d").alias("raw"), get("q").alias("normalised"))
+    rows = df.select(F.col(sample).alias("_s"), mask.alias("_m"), F.col(target).cast("array<double>").alias("_t"), F.col(reference).cast("array<double>").alias("_r")).where("_m is not null")
+    kinds = {"d": ("p", "b"), "q": ("p", "b")}
+    sides = [(k, s) for k in kinds for s in kinds[k]]
+    numbers = [f"{c}{k}{s}" for k, s in sides for c in ("n", "t", "v", "w")]
+    out = T.StructType([rows.schema["_s"], T.StructField("i", T.IntegerType()), T.StructField("j", T.IntegerType()), *[T.StructField(c, T.DoubleType()) for c in ("_area", *numbers)]])
+    schema = to_arrow_schema(out)
+    i, j = (x.ravel() for x in np.nonzero(~np.eye(n, dtype=bool)))
+
+    def part(name: pa.Scalar, area: int, held: dict) -> pa.RecordBatch:
+        columns = [pa.array([name.as_py()], schema.types[0]).take(pa.array(np.zeros(len(i), np.int64))), pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(np.full(len(i), float(area)))]
+        for key in sides:
+            m = held[key]
+            columns += [pa.array(x[i, j]) for x in (m.n, m.n * m.mean, m.dev, m.n * m.mean * m.mean)]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    room = max(1, PAIR_CELLS // (12 * n * n))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict = {}
+        for batch in batches:
+            coded = batch.column(0).dictionary_encode(null_encoding="encode")
+            code, flag = coded.indices.to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            t, r = _matrix(batch.column(2), n), _matrix(batch.column(3), n)
+            for c in np.unique(code):
+                name = coded.dictionary[int(c)]
+                if name not in known:
+                    if len(known) >= room:
+                        yield from (part(k, *v) for k, v in known.items())
+                        known = {}
+                    known[name] = [0, {key: _Moments(n) for key in sides}]
+                own = code == c
+                known[name][0] += int(flag[own].sum())
+                for side, which in (("p", own & flag), ("b", own & ~flag)):
+                    at = np.flatnonzero(which)
+                    for a in range(0, len(at), max(1, STEP_CELLS // (n * n))):
+                        step = at[a : a + max(1, STEP_CELLS // (n * n))]
+                        with np.errstate(all="ignore"):
+                            low_t, low_r = (np.where(np.abs(x[step]) > 1e-9, x[step], np.nan)[:, None, :] for x in (t, r))
+                            safe = np.isfinite(low_t) & np.isfinite(low_r)
+                            q_t, q_r = (np.where(safe, x[step][:, :, None] / low, np.nan) for x, low in ((t, low_t), (r, low_r)))
+                            known[name][1]["d", side].add(q_t - q_r)
+                            known[name][1]["q", side].add(q_t / q_r)
+        yield from (part(k, *v) for k, v in known.items())
+
+    total = rows.mapInArrow(fold, out).groupBy("_s", "i", "j").agg(*[F.expr(f"sum({c}) as {c}") for c in ("_area", *numbers)])
+    marks = []
+    for k in kinds:
+        mean = {s: f"try_divide(t{k}{s}, n{k}{s})" for s in kinds[k]}
+        sd = f"sqrt(greatest(v{k}b + w{k}b - t{k}b * {mean['b']}, 0D) / n{k}b)"
+        enough = f"n{k}p >= {MIN_PLUME_PIXELS} and n{k}b >= {MIN_BACKGROUND_PIXELS}"
+        marks.append(f"case when {enough} then case when {sd} >= {MIN_SD} then abs({mean['p']} - {mean['b']}) / {sd} end end as {'raw' if k == 'd' else 'normalised'}")
+    return total.where(f"_area >= {min_mask}").selectExpr("_s", "i", "j", *marks).withColumnRenamed("_s", sample)
 
 
 def band_stat_contrast(df: DataFrame, keys: Sequence[str], value: Column, mask: Column) -> DataFrame:
