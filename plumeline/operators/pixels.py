@@ -49,18 +49,22 @@ def decode_bit(mask: Column, bit: int) -> Column:
 def mask_union_dilate(masks: Sequence[DataFrame], shape: DataFrame, radius: int = DILATION) -> DataFrame:
     """Union of masks grown by a square box, clipped to the scene (scene, height, width).
 
-    The box is separable: rows first, then columns, so a pixel never fans out to the whole box.
+    The box is separable: along columns first, then along rows. On a line the pixels no further apart
+    than two radii become one run, and each pixel of a grown run is made once; no pixel is copied per
+    offset. A window holds one line of a scene.
     """
     out = masks[0].select("scene", "row", "col")
     for m in masks[1:]:
         out = out.unionByName(m.select("scene", "row", "col"))
     out = out.distinct()
-    grow = F.sequence(F.lit(-radius), F.lit(radius))
-    for axis, limit in (("row", "height"), ("col", "width")):
-        out = out.withColumn("_d", F.explode(grow)).withColumn(axis, F.col(axis) + F.col("_d")).drop("_d")
-        out = out.join(shape.select("scene", F.col(limit).alias("_n")), "scene")
-        out = out.where((F.col(axis) >= 0) & (F.col(axis) < F.col("_n"))).drop("_n").distinct()
-    return out
+    for axis, other, limit in (("col", "row", "width"), ("row", "col", "height")):
+        line = Window.partitionBy("scene", other).orderBy(axis)
+        opens = F.coalesce(F.col(axis) - F.lag(axis).over(line) > 2 * radius + 1, F.lit(True)).cast("int")
+        runs = out.withColumn("_new", opens).withColumn("_run", F.sum("_new").over(line)).groupBy("scene", other, "_run")
+        runs = runs.agg(F.min(axis).alias("_lo"), F.max(axis).alias("_hi")).join(shape.select("scene", F.col(limit).alias("_n")), "scene")
+        low, high = F.greatest(F.col("_lo") - radius, F.lit(0)), F.least(F.col("_hi") + radius, F.col("_n") - 1)
+        out = runs.where(low <= high).select("scene", other, F.explode(F.sequence(low.cast("int"), high.cast("int"))).alias(axis))
+    return out.select("scene", "row", "col")
 
 
 def tile_grid(shape: DataFrame, sizes: Sequence[int]) -> DataFrame:

@@ -34,3 +34,19 @@ def test_criteria(spark):
     assert told(1) == [True, True, True, True, True, True, False]
     assert told(2) == [False, False, True, False, False, False, True]
     assert told(3) == [False, True, False, False, True, False, False]
+
+
+def test_grown_masks(spark):
+    """Against a loop over the box: pixels at the rim and outside, lines of many and of one, two masks."""
+    from random import Random
+
+    rng = Random(5)
+    a, b = ({(s, rng.randrange(-3, 34), rng.randrange(-3, 43)) for s in range(3) for _ in range(n)} for n in (25, 9))
+    frame = lambda px: spark.createDataFrame(sorted(px), "scene int, row int, col int")
+    shape = spark.createDataFrame([(0, 30, 40), (1, 7, 5), (2, 34, 43)], "scene int, height int, width int")
+    size = {0: (30, 40), 1: (7, 5), 2: (34, 43)}
+    for radius in (0, 1, 5):
+        want = {(s, r + i, c + j) for s, r, c in a | b for i in range(-radius, radius + 1) for j in range(-radius, radius + 1)}
+        want = {(s, r, c) for s, r, c in want if 0 <= r < size[s][0] and 0 <= c < size[s][1]}
+        rows = [tuple(x) for x in pixels.mask_union_dilate([frame(a), frame(b)], shape, radius).collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == want
