@@ -44,11 +44,11 @@ def dominant_category(df: DataFrame, key: str, category: str, weight: Column, fi
     return sums.groupBy(key).agg(F.min_by(category, F.struct(-F.col("_w"), F.col("_f"))).alias(out))
 
 
-def collect_json(df: DataFrame, key: str, name: str, value: str, out: str) -> DataFrame:
-    """Sorted name-to-value object per key as JSON; very large groups come in several parts."""
-    parts = spread.with_parts(df, [key], name)
+def collect_json(df: DataFrame, key: str, name: str, value: str, out: str, parts: int = 1) -> DataFrame:
+    """Sorted name-to-value object per key, and per ``part`` of its names, as JSON; see ``with_parts``."""
+    rows = spread.with_parts(df, name, parts)
     entries = F.array_sort(F.collect_list(F.struct(F.col(name).cast("string").alias("k"), F.col(value).alias("v"))))
-    return parts.groupBy(key, "part").agg(F.to_json(F.map_from_entries(entries)).alias(out))
+    return rows.groupBy(key, "part").agg(F.to_json(F.map_from_entries(entries)).alias(out))
 
 
 def explode_map_values(df: DataFrame, text: str, value_type: str = "double") -> DataFrame:

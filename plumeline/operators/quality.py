@@ -42,12 +42,12 @@ def plume_wind_table(a: DataFrame, b: DataFrame) -> DataFrame:
     return left.unionByName(right).where("speed is not null")
 
 
-def per_plume_wind_json(winds: DataFrame, scene: str, plume: str, digits: int = 3) -> DataFrame:
-    """Mean wind per plume as one JSON object per scene; very large scenes come in several parts."""
+def per_plume_wind_json(winds: DataFrame, scene: str, plume: str, digits: int = 3, parts: int = 1) -> DataFrame:
+    """Mean wind per plume as one JSON object per scene, and per ``part`` of its plumes; see ``with_parts``."""
     means = winds.groupBy(scene, plume).agg(F.avg("u").alias("u"), F.avg("v").alias("v"))
     r = lambda e, n: F.round(e, digits).alias(n)
     value = F.struct(r(F.col("u"), "u"), r(F.col("v"), "v"), r(F.hypot("u", "v"), "speed"))
-    rows = spread.with_parts(means.withColumn("_w", value), [scene], plume)
+    rows = spread.with_parts(means.withColumn("_w", value), plume, parts)
     entries = F.array_sort(F.collect_list(F.struct(F.col(plume).cast("string").alias("k"), F.col("_w").alias("v"))))
     return rows.groupBy(scene, "part").agg(F.to_json(F.map_from_entries(entries)).alias("winds"))
 

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumeline.functions.draws import draw
+
 #: Rows or cells of a group that one task orders by itself.
 GROUP_LIMIT = 1_000_000
 #: Bits below the first and below the second digit.
@@ -204,28 +206,10 @@ def row_positions(
     return found.withColumn(out, F.col("_before") + place - 1).drop("_at", "_before")
 
 
-PART_ROWS = 100_000
-
-
-def with_parts(df: DataFrame, keys: Sequence[str], member: str, limit: int = PART_ROWS) -> DataFrame:
-    """Add ``part``: 0 for groups of ordinary size, a hashed share number for larger ones.
+def with_parts(df: DataFrame, member: str, parts: int) -> DataFrame:
+    """Add ``part``, the share out of ``parts`` that a member's digest falls in, whatever the size of its group.
 
-    Operators that gather members into one value per group gather per (group, part), so no value
-    outgrows a task. Rows with more than ``limit`` members number at most total / limit.
+    Operators that gather members into one value per group gather per (group, part): a table whose
+    groups can outgrow a task asks for more parts, and gets the same grain for all of its groups.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.agg(F.max("_n")).first()[0]
-    if top is None or top <= limit:
-        return df.withColumn("part", F.lit(0))
-    big = counts.where(F.col("_n") > limit).select(
-        *[F.col(k).alias(f"_b_{k}") for k in keys], F.ceil(F.col("_n") / limit).alias("_parts")
-    )
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_b_{k}"))
-    share = F.pmod(F.xxhash64(member), F.col("_parts")).cast("int")
-    return (
-        df.join(big, on, "left")
-        .withColumn("part", F.coalesce(share, F.lit(0)))
-        .drop("_parts", *[f"_b_{k}" for k in keys])
-    )
+    return df.withColumn("part", F.pmod(draw(F.col(member)), F.lit(parts)).cast("int") if parts > 1 else F.lit(0))

@@ -432,15 +432,15 @@ def parse_number_list(spark, d):
 
 @query(
     "format_wkt_multipoint",
-    """SELECT country, 0 AS part, CASE WHEN count(*) FILTER (flux >= 0) = 0 THEN 'MULTIPOINT EMPTY' ELSE 'MULTIPOINT (' ||
+    """SELECT country, CAST(CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 8 AS INT) AS part, CASE WHEN count(*) FILTER (flux >= 0) = 0 THEN 'MULTIPOINT EMPTY' ELSE 'MULTIPOINT (' ||
        string_agg(printf('(%.2f %.2f)', lon, lat), ', ' ORDER BY lon, lat) FILTER (flux >= 0) || ')' END AS points
-       FROM (WITH """ + fx.POINTS + """ SELECT * FROM points) GROUP BY country""",
+       FROM (WITH """ + fx.POINTS + """ SELECT * FROM points) GROUP BY ALL""",
 )
 def format_wkt_multipoint(spark, d):
     lon = F.when(F.col("flux") >= 0, F.col("lon"))
     pts = F.array_sort(F.collect_list(F.struct(lon.alias("lon"), F.col("lat"))))
-    # Very large groups give several numbered texts.
-    rows = spread.with_parts(fx.points(spark, d), ["country"], "id")
+    # Countries grow with the table: each comes in eight numbered texts.
+    rows = spread.with_parts(fx.points(spark, d), "id", 8)
     return rows.groupBy("country", "part").agg(pts.alias("p")).select("country", "part", X.multipoint(F.col("p"), 2).alias("points"))
 
 

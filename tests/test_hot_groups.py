@@ -60,11 +60,11 @@ def test_row_positions(skewed):
     same_rows(rows_of(b)[1], rows_of(a)[1])
 
 
-def test_parts_keep_every_member(skewed):
-    parts = spread.with_parts(skewed, ["g"], "id", limit=500)
-    assert parts.count() == 6000
-    assert parts.where("g = 0").select("part").distinct().count() > 1
-    assert parts.groupBy("g", "part").count().agg(F.max("count")).first()[0] < 900
+def test_parts_have_one_grain(skewed):
+    parts = spread.with_parts(skewed, "id", 12)
+    assert parts.count() == 6000 and parts.groupBy("g").agg(F.count_distinct("part").alias("n")).agg(F.min("n")).first()[0] == 12
+    assert parts.groupBy("g", "part").count().agg(F.max("count")).first()[0] < 260
+    assert [r["part"] for r in spread.with_parts(skewed, "id", 1).select("part").distinct().collect()] == [0]
 
 
 def test_long_rank_list(skewed):
