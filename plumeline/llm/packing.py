@@ -17,6 +17,8 @@ from plumeline.llm.tokens import BYTE_BPE, coder
 DIMS, BITS = 3, 16
 #: Buckets that token ids are hashed to before the projection.
 BUCKETS = 2048
+#: Text that is encoded at a time, in bytes.
+PACK_STEP = 4_000_000
 
 
 def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -78,7 +80,7 @@ def tokenized(docs: DataFrame, tokenizer: str = BYTE_BPE, end: int = 1, key: str
 
     source = docs.select(docs[key].alias("key"), docs[text].alias("text"))
     schema = T.StructType([source.schema["key"], T.StructField("curve", T.LongType()), T.StructField("ids", T.BinaryType())])
-    return source.mapInArrow(by_steps(encode), schema)
+    return source.mapInArrow(by_steps(encode, PACK_STEP), schema)
 
 
 class Cutter:
