@@ -53,9 +53,9 @@ def ordered_code(kind: T.DataType, value: str) -> str:
 
 def by_size(rows: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame]:
     """Rows of the groups with up to so many rows, and of those with more."""
-    sizes = rows.groupBy(*keys).agg(F.expr("count(1) as _n")).where(f"_n > {limit}")
-    hot = F.broadcast(sizes.selectExpr(*[f"{q(k)} as {q('_h_' + k)}" for k in keys]))
-    on = on_keys(keys, [f"_h_{k}" for k in keys])
+    sizes = rows.groupBy(*keys).agg(F.expr("count(1) as _dg_n")).where(f"_dg_n > {limit}")
+    hot = F.broadcast(sizes.selectExpr(*[f"{q(k)} as {q('_dg_h_' + k)}" for k in keys]))
+    on = on_keys(keys, [f"_dg_h_{k}" for k in keys])
     return rows.join(hot, on, "left_anti"), rows.join(hot, on, "left_semi")
 
 
@@ -63,30 +63,30 @@ def digit_totals(cells: DataFrame, kind: T.DataType, keys: Sequence[str], value:
     """Totals before each cell and of its group, from totals per leading digits."""
     v, same = q(value), [q(k) for k in keys]
     sums = [q(n) for n in names]
-    digits = [f"shiftrightunsigned(_c, {cut})" for cut in CUTS]
+    digits = [f"shiftrightunsigned(_dg_c, {cut})" for cut in CUTS]
     each = ", ".join(
         f"named_struct('i', {i}, 'a', {digits[0]}, 'b', {digits[1] if i > 1 else 'cast(null as bigint)'}, 'v', {v if i > 2 else f'cast(null as {kind.simpleString()})'})" for i in (1, 2, 3)
     )
-    rows = cells.selectExpr("*", f"{ordered_code(kind, value)} as _c").selectExpr(*same, *sums, f"inline(array({each})) as (_i, _a, _b, {v})")
-    rows = rows.groupBy(*keys, "_i", "_a", "_b", value).agg(*[F.expr(f"sum({n}) as {n}") for n in sums])
+    rows = cells.selectExpr("*", f"{ordered_code(kind, value)} as _dg_c").selectExpr(*same, *sums, f"inline(array({each})) as (_dg_i, _dg_a, _dg_b, {v})")
+    rows = rows.groupBy(*keys, "_dg_i", "_dg_a", "_dg_b", value).agg(*[F.expr(f"sum({n}) as {n}") for n in sums])
     # Level by level: the totals of the level above open each window with what lies before all of it.
-    before, total = [q(f"_b_{n}") for n in names], [q(f"_t_{n}") for n in names]
+    before, total = [q(f"_dg_b_{n}") for n in names], [q(f"_dg_t_{n}") for n in names]
     ahead = "rows between unbounded preceding and 1 preceding"
-    top = f"partition by {', '.join([*same, 'if(_i > 1, _a, null)', 'if(_i > 1, _b, null)', '_i'])}"
+    top = f"partition by {', '.join([*same, 'if(_dg_i > 1, _dg_a, null)', 'if(_dg_i > 1, _dg_b, null)', '_dg_i'])}"
     rows = rows.selectExpr(
-        "*", *[f"if(_i = 1, coalesce(sum({n}) over ({top} order by _a {ahead}), 0), null) as {b}" for n, b in zip(sums, before)], *[f"if(_i = 1, sum({n}) over ({top}), null) as {t}" for n, t in zip(sums, total)]
+        "*", *[f"if(_dg_i = 1, coalesce(sum({n}) over ({top} order by _dg_a {ahead}), 0), null) as {b}" for n, b in zip(sums, before)], *[f"if(_dg_i = 1, sum({n}) over ({top}), null) as {t}" for n, t in zip(sums, total)]
     )
-    base = [*same, "_i", "_a", "_b", v, *sums]
-    for i, group in ((2, "_a"), (3, "_a, _b")):
+    base = [*same, "_dg_i", "_dg_a", "_dg_b", v, *sums]
+    for i, group in ((2, "_dg_a"), (3, "_dg_a, _dg_b")):
         # Rows of other levels only pass through, each in a window of its own digits.
-        part = f"partition by {', '.join([*same, group])}, _i in ({i - 1}, {i}), if(_i in ({i - 1}, {i}), null, _b)"
-        running = f"over ({part} order by _i, _b, {v} {ahead})"
+        part = f"partition by {', '.join([*same, group])}, _dg_i in ({i - 1}, {i}), if(_dg_i in ({i - 1}, {i}), null, _dg_b)"
+        running = f"over ({part} order by _dg_i, _dg_b, {v} {ahead})"
         rows = rows.selectExpr(
             *base,
-            *[f"if(_i = {i}, coalesce(sum(if(_i = {i}, {n}, {b})) {running}, 0), {b}) as {b}" for n, b in zip(sums, before)],
-            *[f"if(_i = {i}, max(if(_i = {i}, null, {t})) over ({part}), {t}) as {t}" for t in total],
+            *[f"if(_dg_i = {i}, coalesce(sum(if(_dg_i = {i}, {n}, {b})) {running}, 0), {b}) as {b}" for n, b in zip(sums, before)],
+            *[f"if(_dg_i = {i}, max(if(_dg_i = {i}, null, {t})) over ({part}), {t}) as {t}" for t in total],
         )
-    return rows.where("_i = 3").selectExpr(*same, v, *sums, *[f"{b} as {q(n + '_before')}" for n, b in zip(names, before)], *[f"{t} as {q(n + '_total')}" for n, t in zip(names, total)])
+    return rows.where("_dg_i = 3").selectExpr(*same, v, *sums, *[f"{b} as {q(n + '_before')}" for n, b in zip(names, before)], *[f"{t} as {q(n + '_total')}" for n, t in zip(names, total)])
 
 
 def ordered_totals(

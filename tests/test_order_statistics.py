@@ -123,3 +123,11 @@ def test_many_groups_against_all(spark):
         grid = np.unique(every)
         share = lambda x: np.searchsorted(x, grid, "right") / len(x)
         assert abs(got[g][0] - np.abs(share(own) - share(every)).max()) < 1e-12 and got[g][1] == len(own)
+
+
+def test_columns_with_any_name(spark):
+    rows = spark.range(60).selectExpr("id % 3 as _b", "id % 7 as _i", "1 as _c", "id as _n")
+    for value in ("_i", "_n", "_c"):
+        cut = spread.ordered_totals(rows, ["_b"], value, {"_a": F.count(F.lit(1))}, limit=2)
+        same_rows(rows_of(cut)[1], rows_of(spread.ordered_totals(rows, ["_b"], value, {"_a": F.count(F.lit(1))}))[1])
+    assert spread.percentiles(rows, ["_b"], "_n", {"_a": 0.5}, limit=2).count() == 3
